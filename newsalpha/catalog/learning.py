@@ -56,7 +56,7 @@ def extreme_pairs(t):
 @query("""
 WITH vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM {embeddings}),
 target AS (
-  SELECT list_transform(list_zip(a.v, b.v, c.v), z -> z[1] - z[2] + z[3]) AS v
+  SELECT list_transform(list_zip(a.v, b.v, c.v), lambda z: z[1] - z[2] + z[3]) AS v
   FROM vectors a, vectors b, vectors c WHERE a.vec_id = 0 AND b.vec_id = 1 AND c.vec_id = 2)
 SELECT vec_id, cosine, CAST(r AS INT) AS rank FROM (
   SELECT x.vec_id, round(list_cosine_similarity(x.v, target.v), 6) AS cosine,

@@ -262,7 +262,7 @@ def log_return(t):
 
 
 @query("""
-SELECT v.vec_id, round(1 / (1 + exp(-(list_sum(list_transform(v.embedding::DOUBLE[], x -> x * 0.25)) + 0.1))), 6) AS p_up
+SELECT v.vec_id, round(1 / (1 + exp(-(list_sum(list_transform(v.embedding::DOUBLE[], lambda x: x * 0.25)) + 0.1))), 6) AS p_up
 FROM {embeddings} v""")
 def sigmoid_score(t):
     """Logistic score of each vector under one given weight vector."""
@@ -275,7 +275,7 @@ def sigmoid_score(t):
 @query("""
 SELECT vec_id, CAST(i AS INT) AS pos, round(CASE WHEN len = 0 THEN 0 ELSE e / len END, 6) AS value
 FROM (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS e,
-        sqrt(list_sum(list_transform(embedding::DOUBLE[], x -> x * x))) AS len FROM {embeddings}) x""")
+        sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS len FROM {embeddings}) x""")
 def l2_normalize(t):
     unit = vectors.l2_normalize(F.col("embedding"))
     return rounded(t("embeddings").select("vec_id", F.posexplode(unit).alias("pos", "value")))

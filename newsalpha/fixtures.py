@@ -118,7 +118,8 @@ FROM (SELECT date, {rows(3,2,5,7,4)} AS k FROM fx_index) t""",
     "fx_labeled": """
 SELECT o.o_orderkey AS rp_story_id, o.o_custkey AS permno, CAST(o.o_orderdate AS DATE) AS article_date,
   e.vec_id, o.o_totalprice AS market_cap, CASE WHEN e.label >= 5 THEN 1 ELSE 0 END AS label
-FROM {orders} o JOIN {embeddings} e ON e.vec_id = o.o_orderkey % (SELECT count(*) FROM {embeddings})""",
+FROM (SELECT *, o_orderkey % n AS vec FROM {orders} JOIN (SELECT count(*) AS n FROM {embeddings}) s ON n > 0) o
+JOIN {embeddings} e ON e.vec_id = o.vec""",
     "fx_forecasts": """
 SELECT permno, date, ((permno * 13 + extract(day FROM date) * 5) % 97) / CAST(97 AS DOUBLE) AS score, ret
 FROM fx_daily""",

@@ -7,8 +7,6 @@ windows below is no longer than the trading calendar.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsalpha.operators.joins import broadcast_if_small
-
 
 def return_window(ret: str, window: tuple[int, int]):
     """Compound return over the rows ``lo … hi`` around the current row, null unless all are there.
@@ -42,9 +40,13 @@ def assign_binary_label(df: DataFrame) -> DataFrame:
 
 
 def universe_semi(daily: DataFrame, news: DataFrame) -> DataFrame:
-    """Daily rows of issuers that occur in the news."""
+    """Daily rows of issuers that occur in the news.
+
+    The return windows that follow need the daily rows by issuer anyway, so a shuffled join
+    costs nothing extra and the news is not read twice to learn the number of issuers.
+    """
     issuers = news.select("permno").where(F.col("permno").isNotNull()).distinct()
-    return daily.join(broadcast_if_small(issuers), "permno", "left_semi")
+    return daily.join(issuers, "permno", "left_semi")
 
 
 def build_labeled_dataset(clean: DataFrame, daily: DataFrame, window: tuple[int, int] = (-1, 1)) -> DataFrame:

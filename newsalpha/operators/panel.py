@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.functions.numbers import correlation, ratio, weighted_mean
-from newsalpha.operators.joins import broadcast_if_small
 from newsalpha.operators.sectors import sector_fund, sector_name, sector_on_daily
 
 MIN_PAIRS = 30
@@ -66,7 +65,7 @@ def attach_etf_returns(panel: DataFrame, funds: DataFrame) -> DataFrame:
     funds = funds.select("ticker", "date", F.col("ret").alias("etf_ret"))
     return (
         panel.withColumn("ticker", sector_fund(F.col("gsector")))
-        .join(broadcast_if_small(funds), ["ticker", "date"], "left")
+        .join(funds, ["ticker", "date"], "left")
         .drop("ticker")
     )
 
@@ -140,20 +139,11 @@ def sector_correlations(panel: DataFrame, min_pairs: int = MIN_PAIRS) -> DataFra
 
 
 def zscore_by_sector(panel: DataFrame, columns: list[str]) -> DataFrame:
-    """Standard scores per sector; zero where the sector has no spread, null stays null.
+    """Standard scores per sector; zero where the sector has no spread, null stays null."""
+    sector = Window.partitionBy("gsector")
 
-    Moments come from a partial aggregate and are joined back, so no sector has to fit
-    into one window.
-    """
-    moments = panel.groupBy("gsector").agg(
-        *(F.avg(c).alias(f"{c}_mean") for c in columns),
-        *(F.stddev_samp(c).alias(f"{c}_sd") for c in columns),
-    )
-    joined = panel.join(broadcast_if_small(moments), "gsector")
-    scores = {
-        f"{c}_z": F.coalesce(
-            ratio(F.col(c) - F.col(f"{c}_mean"), F.nullif(F.col(f"{c}_sd"), F.lit(0.0))), F.col(c) * 0
-        )
-        for c in columns
-    }
-    return joined.withColumns(scores).drop(*(f"{c}_{m}" for c in columns for m in ("mean", "sd")))
+    def score(column):
+        spread = F.nullif(F.stddev_samp(column).over(sector), F.lit(0.0))
+        return F.coalesce(ratio(F.col(column) - F.avg(column).over(sector), spread), F.col(column) * 0)
+
+    return panel.withColumns({f"{c}_z": score(c) for c in columns})

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from newsalpha.constants import LENGTH_PERCENTILES
 from newsalpha.functions.numbers import ratio
 from newsalpha.functions.text import char_count, token_count, word_count
-from newsalpha.operators.joins import broadcast_if_small
 from newsalpha.operators.quantiles import exact_quantiles
+from newsalpha.session import stage
 
 
 def per_day(clean: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def text_length_stats(texts: DataFrame, column: str, percentiles: list[int] | No
     counted = lengths.groupBy("measure", "length").agg(F.count("*").alias("copies"))
     points = F.array(*(F.lit(p / 100) for p in percentiles))
     stats = counted.groupBy("measure").agg(
-        F.percentile("length", points, "copies").alias("points"),
+        F.percentile("length", points, F.col("copies")).alias("points"),
         ratio(F.sum(F.col("length") * F.col("copies")), F.sum("copies")).alias("mean"),
         F.sum("copies").alias("n"),
     )
@@ -139,9 +139,10 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 def return_histogram(labeled: DataFrame, bins: int = 80) -> DataFrame:
     """Density of window returns per label between the 1 % and 99 % quantiles.
 
-    Each label has its own equal bins from its smallest to its largest kept return.
+    Each label has its own equal bins from its smallest to its largest kept return. The two
+    columns are staged, because bounds, ranges and counts each read them.
     """
-    rows = labeled.select("ret_window", "label").dropna()
+    rows = stage(labeled.select("ret_window", "label").dropna(), "returns")
     low, high = exact_quantiles(rows, "ret_window", [0.01, 0.99])
     kept = rows.where(F.col("ret_window").between(low, high))
     ranges = kept.groupBy("label").agg(
@@ -150,7 +151,7 @@ def return_histogram(labeled: DataFrame, bins: int = 80) -> DataFrame:
     width = (F.col("stop") - F.col("start")) / bins
     place = F.least(F.floor(F.try_divide(F.col("ret_window") - F.col("start"), width)), F.lit(bins - 1))
     return (
-        kept.join(broadcast_if_small(ranges), "label")
+        kept.join(ranges, "label")
         .withColumns({"bin": F.coalesce(place, F.lit(0)).cast("int"), "width": width})
         .groupBy("label", "bin", "start", "width", "label_rows")
         .agg(F.count("*").alias("n"))
