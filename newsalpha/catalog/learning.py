@@ -132,7 +132,7 @@ def pca_project(t):
 
 @query()
 def tfidf_svd(t):
-    return decomposition.tfidf_svd(t("documents"), "doc_id", "text", k=64)
+    return decomposition.tfidf_svd(t("documents"), "doc_id", "text", k=64, columns=1 << 15)
 
 
 @query("""

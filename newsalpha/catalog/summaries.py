@@ -27,8 +27,8 @@ UNION ALL SELECT 'articles', CAST(count(*) AS VARCHAR) FROM clean
 UNION ALL SELECT 'stories', CAST(count(DISTINCT rp_story_id) AS VARCHAR) FROM clean
 UNION ALL SELECT 'issuers', CAST(count(DISTINCT permno) AS VARCHAR) FROM clean
 UNION ALL SELECT 'days', CAST(count(*) AS VARCHAR) FROM per_day
-UNION ALL SELECT 'articles_per_day', printf('%.1f', avg(n_articles)) FROM per_day
-UNION ALL SELECT 'issuers_per_day', printf('%.1f', avg(n_stocks)) FROM per_day""")
+UNION ALL SELECT 'articles_per_day', CAST(round(avg(n_articles), 6) AS VARCHAR) FROM per_day
+UNION ALL SELECT 'issuers_per_day', CAST(round(avg(n_stocks), 6) AS VARCHAR) FROM per_day""")
 def dataset_summary(t):
     return statistics.dataset_summary(clean(t))
 

@@ -67,7 +67,7 @@ def train_logistic(train: DataFrame, validation: DataFrame, c_grid: Iterable[flo
     try:
         n = scaled.count()
         estimator = LogisticRegression(
-            featuresCol="scaled", elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8
+            featuresCol="scaled", elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-6
         )
         with ThreadPoolExecutor(parallelism) as pool:
             models = list(pool.map(lambda c: estimator.copy({estimator.regParam: 1 / (c * n)}).fit(scaled), grid))
@@ -98,28 +98,34 @@ class FittedRidge:
         return self.model.transform(df).withColumnRenamed("prediction", "predicted_return")
 
 
-def train_ridge(train: DataFrame, validation: DataFrame, target: str = "ret", grid: Iterable[float] = tuple(RIDGE_GRID), mean_loss: bool = True) -> FittedRidge:
+def train_ridge(train: DataFrame, validation: DataFrame, target: str = "ret", grid: Iterable[float] = tuple(RIDGE_GRID), mean_loss: bool = True, parallelism: int = 5) -> FittedRidge:
     """Ridge of a return on vectors, the penalty chosen by validation error.
 
     The normal-equation solver sees the target divided by its population deviation, hence
     the factor on the penalty. ``mean_loss`` means mean(error^2) + alpha |w|^2; otherwise
     sum(error^2) + alpha |w|^2.
     """
-    n, spread = train.agg(F.count(target), F.stddev_pop(target)).first()
-    candidates = []
-    for alpha in grid:
-        penalty = (alpha if mean_loss else alpha / n) * spread
-        model = LinearRegression(
-            featuresCol="features", labelCol=target, elasticNetParam=0.0, standardization=False,
-            regParam=penalty, solver="normal",
-        ).fit(train)
-        candidates.append((alpha, model))
+    alphas = list(grid)
+    rows = train.select(target, "features").where(F.col(target).isNotNull()).persist()
+    try:
+        n, spread = rows.agg(F.count(target), F.stddev_pop(target)).first()
+        estimator = LinearRegression(
+            featuresCol="features", labelCol=target, elasticNetParam=0.0, standardization=False, solver="normal"
+        )
+
+        def fit(alpha: float) -> LinearRegressionModel:
+            penalty = (alpha if mean_loss else alpha / n) * spread
+            return estimator.copy({estimator.regParam: penalty}).fit(rows)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = list(pool.map(fit, alphas))
+    finally:
+        rows.unpersist()
     rated = validation.select(target, "features")
-    for i, (_, model) in enumerate(candidates):
+    for i, model in enumerate(models):
         rated = model.copy({model.predictionCol: f"r_{i}"}).transform(rated)
     errors = rated.agg(
-        *(F.avg((F.col(f"r_{i}") - F.col(target)) ** 2).alias(f"mse_{i}") for i in range(len(candidates)))
+        *(F.avg((F.col(f"r_{i}") - F.col(target)) ** 2).alias(f"mse_{i}") for i in range(len(models)))
     ).first()
-    best = min(range(len(candidates)), key=lambda i: (errors[f"mse_{i}"], i))
-    alpha, model = candidates[best]
-    return FittedRidge(model, alpha, errors[f"mse_{best}"])
+    best = min(range(len(models)), key=lambda i: (errors[f"mse_{i}"], i))
+    return FittedRidge(models[best], alphas[best], errors[f"mse_{best}"])

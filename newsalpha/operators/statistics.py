@@ -26,11 +26,7 @@ def daily_coverage(clean: DataFrame) -> DataFrame:
 
 
 def dataset_summary(clean: DataFrame) -> DataFrame:
-    """(statistic, value) rows, values as text.
-
-    One pass first counts per (day, story, issuer) and then per level, so the distinct
-    counts share what they can.
-    """
+    """(statistic, value) rows, values as text."""
     whole = clean.agg(
         F.min("article_date").cast("string").alias("date_start"),
         F.max("article_date").cast("string").alias("date_end"),
@@ -40,8 +36,8 @@ def dataset_summary(clean: DataFrame) -> DataFrame:
     )
     days = daily_coverage(clean).select(
         F.col("n_days").cast("string").alias("days"),
-        F.format_string("%.1f", "avg_articles").alias("articles_per_day"),
-        F.format_string("%.1f", "avg_stocks").alias("issuers_per_day"),
+        F.round("avg_articles", 6).cast("string").alias("articles_per_day"),
+        F.round("avg_stocks", 6).cast("string").alias("issuers_per_day"),
     )
     long = [part.unpivot([], part.columns, "statistic", "value") for part in (whole, days)]
     return long[0].unionByName(long[1])
