@@ -1,9 +1,11 @@
 """Session settings and staged tables."""
 
 import os
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,28 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else has started."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        spark.sparkContext.addPyFile(_package_archive())
+        _shipped.add(application)
+
+
+_shipped: set[str] = set()
+
+
+@lru_cache
+def _package_archive() -> str:
+    package = Path(__file__).parent
+    target = os.path.join(tempfile.mkdtemp(prefix="newsalpha-"), package.name)
+    return shutil.make_archive(target, "zip", package.parent, package.name)
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
@@ -39,7 +60,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,9 +1,11 @@
+import sys
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from newsalpha.functions import vectors as vec
@@ -101,6 +103,10 @@ def test_a_panel_must_be_small(spark):
         similarity.fetch_panel(df, "id", "embedding", limit=9)
 
 
+# Python workers cannot import this file.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class CountingEmbedder:
     """Length and first letter, so that tests can see which texts reached the model."""
 
