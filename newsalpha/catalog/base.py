@@ -17,9 +17,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = configure(spark), str(folder)
+        self.known: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return derive(self.spark, self.folder, name)
+        if name not in self.known:
+            self.known[name] = derive(self.spark, self.folder, name)
+        return self.known[name]
 
 
 def query(sql: str | None = None, name: str | None = None):

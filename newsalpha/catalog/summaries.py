@@ -175,7 +175,7 @@ complete AS (SELECT * FROM pairs WHERE score IS NOT NULL AND ret IS NOT NULL)"""
 
 
 @query(f"""WITH {PAIRS}
-SELECT gsector, sector_name, date, return_series, lag, round(score, 6) AS score, round(ret, 6) AS ret FROM complete""")
+SELECT gsector, sector_name, date, return_series, lag, round(score, 6) AS score, round(ret, 6) AS ret FROM pairs""")
 def stack_return_pairs(t):
     return rounded(panel.stack_return_pairs(built_panel(t)))
 

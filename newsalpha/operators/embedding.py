@@ -40,13 +40,14 @@ class HashingEmbedder:
         return int(digest[:8], 16) % self.size, 1.0 if int(digest[8], 16) % 2 == 0 else -1.0
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        vectors = np.zeros((len(texts), self.size), dtype=np.float32)
-        for row, text in zip(vectors, texts):
-            for word in text.lower().split():
-                position, sign = self.place(word)
-                row[position] += sign
+        words = [text.lower().split() for text in texts]
+        places = [self.place(word) for group in words for word in group]
+        row = np.repeat(np.arange(len(texts)), [len(group) for group in words])
+        position, sign = np.array(places, dtype=np.float64).reshape(-1, 2).T
+        cells = row * self.size + position.astype(np.int64)
+        vectors = np.bincount(cells, sign, len(texts) * self.size).reshape(len(texts), self.size)
         lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-        return vectors / np.where(lengths == 0, 1, lengths)
+        return (vectors / np.where(lengths == 0, 1, lengths)).astype(np.float32)
 
 
 def pool_tokens(hidden: np.ndarray, mask: np.ndarray) -> np.ndarray:

@@ -47,14 +47,20 @@ def dedup_headlines(news: DataFrame) -> DataFrame:
 def clean_headlines(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:
     """All stages of the funnel.
 
-    The length test depends on the row alone, so it runs first and narrows what the two
-    shuffles carry; the story test still looks at every raw row. The return test and
-    the removal of copies use the same (issuer, date) partitioning.
+    The return test and the removal of copies use the same (issuer, date) partitioning.
+    """
+    return dedup_headlines(has_return_semi(single_issuer_headlines(news, calendar, min_chars), daily))
+
+
+def single_issuer_headlines(news: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:
+    """Long enough headlines of single-issuer stories, with their article date.
+
+    The length test depends on the row alone, so it runs first and narrows what the
+    shuffle carries; the story test still looks at every raw row.
     """
     long = filter_headline_length(news.where(F.col("permno").isNotNull()), min_chars)
     single = long.join(single_issuer_story_ids(news), "rp_story_id", "left_semi")
-    dated = shift_opening_window(single, calendar)
-    return dedup_headlines(has_return_semi(dated, daily))
+    return shift_opening_window(single, calendar)
 
 
 def funnel_stage_counts(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:

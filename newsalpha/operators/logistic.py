@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from newsalpha.constants import C_GRID, RIDGE_GRID
 
 
+# Bytes of features per task: a solver pass over less is mostly scheduling.
+TASK_BYTES = 16 << 20
+
+
 def standardize(train: DataFrame, features: str = "features", into: str = "scaled") -> PipelineModel:
     """A scaler fitted on the training rows: mean zero, population variance one.
 
@@ -63,7 +67,10 @@ def train_logistic(train: DataFrame, validation: DataFrame, c_grid: Iterable[flo
     """
     grid = list(c_grid)
     scaler = standardize(train)
-    scaled = scaler.transform(train).select("label", "scaled").persist()
+    width = len(scaler.stages[0].mean)
+    scaled = scaler.transform(train).select("label", "scaled")
+    parts = math.ceil(train.count() * width * 8 / TASK_BYTES)
+    scaled = scaled.coalesce(max(parts, 1)).persist()
     try:
         n = scaled.count()
         estimator = LogisticRegression(

@@ -91,7 +91,7 @@ def lagged_sentiment(panel: DataFrame) -> DataFrame:
 
 
 def stack_return_pairs(panel: DataFrame) -> DataFrame:
-    """Two return series by two lags as long rows; incomplete pairs go."""
+    """Two return series by two lags as long rows, complete pairs or not."""
     pairs = [
         F.struct(
             F.lit(series).alias("return_series"),
@@ -103,8 +103,7 @@ def stack_return_pairs(panel: DataFrame) -> DataFrame:
         for score, lag in (("sentiment", "same-day"), ("sentiment_lag", "1d-lag"))
     ]
     keys = ["gsector", "sector_name", "date"]
-    stacked = lagged_sentiment(panel).select(*keys, F.inline(F.array(*pairs)))
-    return stacked.dropna(subset=["score", "ret"])
+    return lagged_sentiment(panel).select(*keys, F.inline(F.array(*pairs)))
 
 
 def average_ranks(df: DataFrame, keys: list[str], column: str, into: str) -> DataFrame:
@@ -117,24 +116,23 @@ def average_ranks(df: DataFrame, keys: list[str], column: str, into: str) -> Dat
 def sector_correlations(panel: DataFrame, min_pairs: int = MIN_PAIRS) -> DataFrame:
     """Pearson and Spearman correlation per sector, return series and lag.
 
-    A cell without any complete pair is kept with n = 0.
+    Ranks are taken among complete pairs. A cell without any is kept with n = 0.
     """
     keys = ["gsector", "return_series", "lag"]
-    pairs = stack_return_pairs(panel)
-    pairs = average_ranks(pairs, keys, "score", "score_rank")
-    pairs = average_ranks(pairs, keys, "ret", "ret_rank")
-    enough = F.count("*") >= min_pairs
-    found = pairs.groupBy(*keys).agg(
-        F.count("*").alias("pairs"),
-        F.when(enough, correlation(F.col("score"), F.col("ret"))).alias("pearson"),
-        F.when(enough, correlation(F.col("score_rank"), F.col("ret_rank"))).alias("spearman"),
-    )
-    cells = panel.groupBy("gsector").agg(F.min("sector_name").alias("sector_name"))
-    for column, values in (("return_series", ["synthetic_ret", "etf_ret"]), ("lag", ["same-day", "1d-lag"])):
-        cells = cells.withColumn(column, F.explode(F.array(*map(F.lit, values))))
-    return cells.join(found, keys, "left").select(
-        "gsector", "sector_name", "return_series", "lag",
-        F.coalesce("pairs", F.lit(0)).alias("n"), "pearson", "spearman",
+    complete = F.col("score").isNotNull() & F.col("ret").isNotNull()
+    pairs = stack_return_pairs(panel).withColumn("complete", complete)
+    pairs = average_ranks(pairs, [*keys, "complete"], "score", "score_rank")
+    pairs = average_ranks(pairs, [*keys, "complete"], "ret", "ret_rank")
+    enough = F.count_if("complete") >= min_pairs
+
+    def among_complete(x, y):
+        return F.when(enough, correlation(F.when(F.col("complete"), F.col(x)), F.when(F.col("complete"), F.col(y))))
+
+    return pairs.groupBy(*keys).agg(
+        F.min("sector_name").alias("sector_name"),
+        F.count_if("complete").alias("n"),
+        among_complete("score", "ret").alias("pearson"),
+        among_complete("score_rank", "ret_rank").alias("spearman"),
     )
 
 

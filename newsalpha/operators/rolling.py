@@ -104,12 +104,12 @@ def rolling_oos(
         join_embeddings(labeled, embeddings.dropDuplicates(["rp_story_id"])).select(
             "rp_story_id",
             F.col("label").cast("double").alias("label"),
-            array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+            F.col("embedding").cast("array<float>").alias("embedding"),
             F.year("article_date").alias("year"),
         ),
         f"features-{model}",
         ("year",),
-    )
+    ).select("rp_story_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "year")
     usable = window_split_counts(labeled, train_years, val_years).where("usable").orderBy("oos_year")
     skip = set(skip_years)
     metrics, predictions = [], []

@@ -48,7 +48,8 @@ def merge_sector(labeled: DataFrame, spells: DataFrame) -> DataFrame:
     """Headlines with the sector valid on their date, and its name.
 
     The sector depends on issuer and date only, so it is looked up once per pair and
-    not once per headline.
+    not once per headline. The headlines are read twice; where they are not stored yet,
+    ``plans.headlines`` takes the sector from the daily rows instead.
     """
     pairs = labeled.select("permno", "article_date").distinct()
     sectors = sector_on(pairs, spells, "article_date")

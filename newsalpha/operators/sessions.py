@@ -33,8 +33,9 @@ def next_trading_day(df: DataFrame, calendar: DataFrame, day: str, into: str, co
     sessions = broadcast_if_small(next_session_map(calendar, column), MAX_CALENDAR_DAYS)
     first = calendar.select(F.min(column)).scalar()
     joined = df.join(sessions, F.col(day) == F.col("day"), "left")
-    following = F.when(F.col(day) < first, first).otherwise(F.coalesce("next_session", day))
-    return joined.withColumn(into, following).drop("day", "next_session")
+    # A day before the calendar is not in the map either; its next session is the first one.
+    following = F.greatest(F.coalesce("next_session", day), first)
+    return joined.withColumn(into, F.when(F.col(day).isNotNull(), following)).drop("day", "next_session")
 
 
 def shift_opening_window(df: DataFrame, calendar: DataFrame, column: str = "trading_date") -> DataFrame:
