@@ -313,7 +313,7 @@ PREDICTED = """predicted AS (
 
 
 def predicted(t):
-    """Two made-up score columns next to the given labels."""
+    """Two scores derived from the story id, next to the given labels."""
     story = F.col("rp_story_id")
     models = F.array(
         F.struct(F.lit("one").alias("model"), (((story * 37) % 101) / 100.0).alias("p_up")),

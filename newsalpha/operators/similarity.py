@@ -118,9 +118,11 @@ def extreme_pairs(df: DataFrame, panel: DataFrame, key: str, vector: str = "embe
         F.least(key, "panel_id").alias("id_a"), F.greatest(key, "panel_id").alias("id_b"), "cosine"
     )
     rounded = F.round("cosine", 9)
-    most = pairs.orderBy(F.desc(rounded), "id_a", "id_b").limit(1).withColumn("which", F.lit("most"))
-    least = pairs.orderBy(rounded, "id_a", "id_b").limit(1).withColumn("which", F.lit("least"))
-    return most.unionByName(least)
+    first = pairs.agg(*(
+        F.min(F.struct(order.alias("place"), "id_a", "id_b", "cosine", F.lit(which).alias("which"))).alias(which)
+        for which, order in (("most", -rounded), ("least", rounded))
+    ))
+    return first.select(F.inline(F.array("most", "least"))).drop("place").where(F.col("which").isNotNull())
 
 
 def vector_analogy(df: DataFrame, a, b, c, key: str, vector: str = "embedding", n: int = 5) -> DataFrame:

@@ -10,15 +10,12 @@ from newsalpha.operators.quantiles import exact_quantiles
 from newsalpha.session import stage
 
 
-def per_day(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("article_date").agg(
-        F.count("*").alias("n_articles"), F.countDistinct("permno").alias("n_stocks")
-    )
-
-
 def daily_coverage(clean: DataFrame) -> DataFrame:
     """Days, and the mean number of articles and issuers per day."""
-    return per_day(clean).agg(
+    days = clean.groupBy("article_date").agg(
+        F.count("*").alias("n_articles"), F.countDistinct("permno").alias("n_stocks")
+    )
+    return days.agg(
         F.count("*").alias("n_days"),
         F.avg("n_articles").alias("avg_articles"),
         F.avg("n_stocks").alias("avg_stocks"),
@@ -26,21 +23,22 @@ def daily_coverage(clean: DataFrame) -> DataFrame:
 
 
 def dataset_summary(clean: DataFrame) -> DataFrame:
-    """(statistic, value) rows, values as text."""
-    whole = clean.agg(
+    """(statistic, value) rows, values as text.
+
+    The means per day are ratios of counts, so one pass over the rows gives everything.
+    """
+    days = F.countDistinct("article_date")
+    summary = clean.agg(
         F.min("article_date").cast("string").alias("date_start"),
         F.max("article_date").cast("string").alias("date_end"),
         F.count("*").cast("string").alias("articles"),
         F.countDistinct("rp_story_id").cast("string").alias("stories"),
         F.countDistinct("permno").cast("string").alias("issuers"),
+        days.cast("string").alias("days"),
+        F.round(ratio(F.count("article_date"), days), 6).cast("string").alias("articles_per_day"),
+        F.round(ratio(F.countDistinct("article_date", "permno"), days), 6).cast("string").alias("issuers_per_day"),
     )
-    days = daily_coverage(clean).select(
-        F.col("n_days").cast("string").alias("days"),
-        F.round("avg_articles", 6).cast("string").alias("articles_per_day"),
-        F.round("avg_stocks", 6).cast("string").alias("issuers_per_day"),
-    )
-    long = [part.unpivot([], part.columns, "statistic", "value") for part in (whole, days)]
-    return long[0].unionByName(long[1])
+    return summary.unpivot([], summary.columns, "statistic", "value")
 
 
 def monthly_volume(clean: DataFrame) -> DataFrame:
