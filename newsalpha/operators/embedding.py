@@ -7,6 +7,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -59,23 +60,27 @@ def pool_tokens(hidden: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return (hidden * weights).sum(axis=1) / np.maximum(weights.sum(axis=1), 1e-9)
 
 
-_models: dict = {}
+_models: dict[str, Embedder] = {}
 
 
-def model_of(make: Callable[[], Embedder]) -> Embedder:
-    """The model of this Python worker, loaded at its first batch and kept for later tasks."""
-    key = repr(make)
-    if key not in _models:
-        _models[key] = make()
-    return _models[key]
+def model_of(name: str, make: Callable[[], Embedder]) -> Embedder:
+    """The model of this Python worker, loaded at its first batch and kept for later tasks.
+
+    A worker keeps one model; the next one takes its place.
+    """
+    if name not in _models:
+        _models.clear()
+        _models[name] = make()
+    return _models[name]
 
 
 def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], batch_size: int = BATCH_SIZE) -> DataFrame:
     """Add ``embedding`` to every row: Arrow batches in, one list column out."""
     others = texts.columns
+    name = hashlib.md5(cloudpickle.dumps(make)).hexdigest()
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(make)
+        model = model_of(name, make)
         for part in parts:
             for start in range(0, part.num_rows, batch_size):
                 piece = part.slice(start, batch_size)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.functions.numbers import ratio, weighted_mean
+from newsalpha.operators.ranking import sliced_ntile
 from newsalpha.operators.sectors import sector_on_daily
 
 TRADING_DAYS = 252
@@ -45,10 +46,10 @@ def sector_predicted_return(forecasts: DataFrame, daily: DataFrame, spells: Data
 def quintile_portfolio(forecasts: DataFrame, groups: int = 5) -> DataFrame:
     """Per day the mean return of the top and bottom group by score, and their difference.
 
-    One row per issuer and day, so a day's group is as large as the list of issuers.
+    Forecasts have one row per issuer and day.
     """
-    by_score = Window.partitionBy("date").orderBy("score", "permno")
-    ranked = forecasts.dropna(subset=["score", "ret"]).withColumn("bucket", F.ntile(groups).over(by_score))
+    complete = forecasts.select("permno", "date", "score", "ret").dropna(subset=["score", "ret"])
+    ranked = sliced_ntile(complete, "date", "score", "permno", groups, "bucket")
     legs = ranked.groupBy("date").agg(
         F.avg(F.when(F.col("bucket") == groups, F.col("ret"))).alias("long_ret"),
         F.avg(F.when(F.col("bucket") == 1, F.col("ret"))).alias("short_ret"),

@@ -21,6 +21,15 @@ SCHEMAS = {
 }
 
 
+def require_unique(df: DataFrame, *keys: str) -> DataFrame:
+    """Fail where a key occurs twice. Daily rows need it: a second row for an issuer and day
+    would shift its return windows, and the one row per trading day bounds their groups."""
+    double = df.groupBy(*keys).count().where(F.col("count") > 1).first()
+    if double is not None:
+        raise ValueError(f"key occurs {double['count']} times: {[double[k] for k in keys]}")
+    return df
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Check that the columns of a dataset are there, cast them, and turn NaN to null."""
     wanted = df.sparkSession.createDataFrame([], SCHEMAS[name]).schema

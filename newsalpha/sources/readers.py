@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsalpha.schemas import require_unique
+
 # Column names of the two layouts of the daily stock table.
 NEW_LAYOUT = {
     "dlycaldt": "date",
@@ -23,6 +25,11 @@ def scan_columns(spark: SparkSession, path: str, columns: list[str], where: Colu
     return df if where is None else df.where(where)
 
 
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The stored daily stock table, checked for one row per issuer and day."""
+    return require_unique(normalize_daily(spark.read.parquet(path)), "permno", "date")
+
+
 def scan_chunks(spark: SparkSession, folder: str, key: str = "rp_story_id", pattern: str = "chunk_*.parquet") -> DataFrame:
     """All chunk files of a folder as one table with one row per id.
 

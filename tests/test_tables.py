@@ -3,10 +3,11 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsalpha.functions import dates, text
-from newsalpha.operators import filters, linking, macro, quantiles, reshape, sampling, statistics
+from newsalpha.operators import filters, linking, macro, quantiles, ranking, reshape, sampling, statistics
 from newsalpha.plans.text_report import headline_length_report
 from newsalpha.schemas import conform
 from newsalpha.session import shared_folder, stage
@@ -180,6 +181,30 @@ class StubSession:
         self.sparkContext = type("Context", (), {"master": master})
 
 
+@pytest.mark.parametrize("slices", [3, 20])
+def test_sliced_ntile_equals_the_window(spark, slices):
+    """Groups of odd sizes; in the largest a third of the rows have one score."""
+    rows = stage(spark.range(4000).select(
+        F.col("id").alias("permno"),
+        F.when(F.col("id") < 3500, 1).when(F.col("id") < 3993, 2).otherwise(F.col("id") % 2 + 3).alias("date"),
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.round(F.rand(7), 3)).alias("score"),
+    ), "scores").repartition(5)
+    by_score = Window.partitionBy("date").orderBy("score", "permno")
+    expected = {r.permno: r.b for r in rows.withColumn("b", F.ntile(5).over(by_score)).collect()}
+    found = ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b", slices)
+    assert found.columns == ["date", "permno", "score", "b"] and found.count() == 4000
+    assert {r.permno: r.b for r in found.collect()} == expected
+
+
+def test_daily_rows_must_be_unique(frame, spark, tmp_path):
+    rows = [(1, date(2020, 1, 2), 0.1), (1, date(2020, 1, 3), 0.1)]
+    for name, extra in (("good", []), ("bad", rows[:1])):
+        frame(rows + extra, "permno bigint, date date, ret double").write.parquet(str(tmp_path / name))
+    assert readers.read_daily(spark, str(tmp_path / "good")).count() == 2
+    with pytest.raises(ValueError, match="2 times"):
+        readers.read_daily(spark, str(tmp_path / "bad"))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(StubSession("s3a://shared/checkpoints", "yarn")) == "s3a://shared/checkpoints"
     assert shared_folder(StubSession(None, "local[4]"))
