@@ -36,17 +36,18 @@ class HashingEmbedder:
         self.size = size
         self.place = lru_cache(maxsize=100_000)(self._place)
 
-    def _place(self, word: str) -> tuple[int, float]:
+    def _place(self, word: str) -> int:
+        """Position from 1 on, negative where the sign is."""
         digest = hashlib.md5(word.encode()).hexdigest()
-        return int(digest[:8], 16) % self.size, 1.0 if int(digest[8], 16) % 2 == 0 else -1.0
+        position = int(digest[:8], 16) % self.size + 1
+        return position if int(digest[8], 16) % 2 == 0 else -position
 
     def encode(self, texts: list[str]) -> np.ndarray:
         words = [text.lower().split() for text in texts]
-        places = [self.place(word) for group in words for word in group]
+        places = np.fromiter((self.place(word) for group in words for word in group), np.int64)
         row = np.repeat(np.arange(len(texts)), [len(group) for group in words])
-        position, sign = np.array(places, dtype=np.float64).reshape(-1, 2).T
-        cells = row * self.size + position.astype(np.int64)
-        vectors = np.bincount(cells, sign, len(texts) * self.size).reshape(len(texts), self.size)
+        cells = row * self.size + np.abs(places) - 1
+        vectors = np.bincount(cells, np.sign(places), len(texts) * self.size).reshape(len(texts), self.size)
         lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
         return (vectors / np.where(lengths == 0, 1, lengths)).astype(np.float32)
 
