@@ -193,8 +193,8 @@ def test_sliced_ntile_equals_the_window(spark, slices):
     expected = {r.permno: r.b for r in rows.withColumn("b", F.ntile(5).over(by_score)).collect()}
     found = ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b", slices, window_rows=1000)
     assert found.columns == ["date", "permno", "score", "b"] and found.count() == 4000
-    assert "ntile" not in found._jdf.queryExecution().executedPlan().toString()
-    assert "ntile" in ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b")._jdf.queryExecution().toString()
+    assert "ntile(5)" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "ntile(5)" in ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b")._jdf.queryExecution().toString()
     assert {r.permno: r.b for r in found.collect()} == expected
 
 
