@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import bpe, common, secrets, sharding
+from newsalpha.llm import bpe, common, minhash, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(common.table(spark, folder, "documents"), *bpe.public_tokenizer(), output="digests")
+
+
+@query("op10_minhash_forest")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(common.table(spark, folder, "documents"), words=4, percent=80)
