@@ -11,12 +11,14 @@ from newsalpha.session import configure, stage
 
 # Rows of one Arrow batch. Texts may be long, so a batch holds few of them.
 BATCH_ROWS = 256
+BATCH_BYTES = "16m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every corpus operator wants: those of the package, and small Arrow batches."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import bpe, common, minhash, secrets, sharding
+from newsalpha.llm import bpe, common, grid_join, minhash, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.byte_shards(common.table(spark, folder, "documents"), shards=40)
 
 
+@query("op2_grid_order_join")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_join.near_vectors(common.table(spark, folder, "embeddings"), least=0.95)
+
+
 @query("op3_secrets")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.secrets(common.table(spark, folder, "documents"))
