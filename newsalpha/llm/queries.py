@@ -5,11 +5,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import bpe, common, grid_join, minhash, secrets, sharding
+from newsalpha.llm import bpe, common, grid_join, lines, minhash, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Lines of the documents; the set of words of each; every pair that shares a word is compared.
+LINE_DEDUP = r"""
+WITH docs AS (SELECT doc_id, text, str_split(text, chr(10)) AS every FROM documents),
+all_lines AS (SELECT doc_id, unnest(range(len(every))) AS place, unnest(every) AS line FROM docs),
+sets AS (
+  SELECT doc_id, place, line, row_number() OVER (ORDER BY doc_id, place) AS number,
+    list_sort(list_distinct(list_filter(str_split_regex(lower(line), '[ \t\n\x0B\f\r]+'), lambda w: w <> ''))) AS words
+  FROM all_lines),
+firsts AS (SELECT words, len(words) AS n, min(number) AS first FROM sets WHERE len(words) > 0 GROUP BY words),
+posted AS (SELECT first, n, unnest(words) AS word FROM firsts),
+shared AS (
+  SELECT a.first AS x, b.first AS y, a.n AS n, b.n AS m, count(*) AS o
+  FROM posted a JOIN posted b ON a.word = b.word AND a.first < b.first AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+  GROUP BY ALL),
+later AS (SELECT DISTINCT y FROM shared WHERE 100 * o >= 80 * (n + m - o)),
+stays AS (
+  SELECT s.doc_id, s.place, s.line FROM sets s
+  WHERE len(words) = 0 OR (number IN (SELECT first FROM firsts) AND number NOT IN (SELECT y FROM later))),
+made AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY place) AS text FROM stays GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(every), 0) AS n_lines, coalesce(len(every), 0) - coalesce(m.n, 0) AS n_removed,
+  sha256(coalesce(m.text, '')) AS text_sha256
+FROM docs d LEFT JOIN made m USING (doc_id)"""
+
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
@@ -44,6 +67,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_line_dedup", sql=LINE_DEDUP)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.deduplicate_lines(common.table(spark, folder, "documents"), percent=80)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(common.table(spark, folder, "documents"), *bpe.public_tokenizer(), output="digests")
