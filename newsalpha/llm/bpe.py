@@ -11,7 +11,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame
 
-from newsalpha.llm.common import rows_mapped
+from newsalpha.llm.common import columns_added
 
 # No pair stands here, or it is not in the vocabulary.
 NONE = np.int64(1) << 60
@@ -265,7 +265,7 @@ def public_tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, st
 
 
 def encode(
-    df: DataFrame, path: str, pattern: str, output: str = "ids", id_column: str = "doc_id", text_column: str = "text"
+    df: DataFrame, path: str, pattern: str, output: str = "ids", text_column: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
     """Encode whole texts and decode the ids again.
 
@@ -274,18 +274,17 @@ def encode(
     of all new pre-tokens of a text are worked on together as arrays; known ones are looked up, and that
     table is bounded. No shuffle: tasks are the splits of the scan.
 
-    Null text counts as empty: no ids, empty bytes. Repeated rows give repeated rows. Other columns are
-    ignored. Returns the id and, for ``output="ids"``, ``ids`` (array<int>) and ``decoded`` (binary); for
+    Null text counts as empty: no ids, empty bytes. Repeated rows give repeated rows. Returns the columns in
+    ``keep`` (all by default) and, for ``output="ids"``, ``ids`` (array<int>) and ``decoded`` (binary); for
     ``output="digests"``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and ``decoded_sha256``.
+    Input columns of these names are replaced.
     """
     if output not in ("ids", "digests"):
         raise ValueError(f"output is ids or digests, not {output}")
-    kind = dict(df.dtypes)[id_column]
-
-    def work(columns: dict[str, list]) -> dict[str, list]:
+    def work(texts: list) -> dict[str, list]:
         coder = encoder(path, pattern)
-        made: dict[str, list] = {"doc_id": columns["doc_id"], **{name: [] for name in names}}
-        for entries in coder.entries([text or "" for text in columns["text"]]):
+        made: dict[str, list] = {name: [] for name in names}
+        for entries in coder.entries([text or "" for text in texts]):
             decoded = b"".join([e[2] for e in entries])
             ids = ",".join([e[0] for e in entries])
             if output == "ids":
@@ -299,5 +298,4 @@ def encode(
 
     names = ("ids", "decoded") if output == "ids" else ("n_tokens", "ids_sha256", "decoded_sha256")
     types = "ids array<int>, decoded binary" if output == "ids" else "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    source = df.selectExpr(f"`{id_column}` as doc_id", f"`{text_column}` as text")
-    return rows_mapped(source, work, f"doc_id {kind}, {types}")
+    return columns_added(df, text_column, work, types, keep)

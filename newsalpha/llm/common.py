@@ -1,11 +1,12 @@
 """Tables, staged intermediates and small helpers of the corpus operators."""
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from newsalpha.session import configure, stage
 
@@ -33,23 +34,46 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def rows_mapped(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``work`` to the columns of each Arrow batch, given and returned as lists by name."""
-    names = [part.split()[0] for part in re.split(r",\s*(?![^<]*>)", schema)]
-    types = _arrow_types(df.sparkSession, schema)
+    fields = _arrow_fields(schema)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             made = work({name: batch.column(name).to_pylist() for name in batch.schema.names})
-            if made and len(made[names[0]]):
-                yield pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in zip(names, types)], names=names)
+            if len(made[fields[0][0]]):
+                yield pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in fields], names=[n for n, _ in fields])
 
     return df.mapInArrow(batches, schema)
 
 
-def _arrow_types(spark: SparkSession, schema: str) -> list[pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
+def columns_added(
+    df: DataFrame, using: str, work: Callable[[list], dict[str, list]], schema: str, keep: list[str] | None = None
+) -> DataFrame:
+    """Add the columns that ``work`` makes from the column ``using`` of each Arrow batch.
 
-    return [to_arrow_type(field.dataType) for field in StructType.fromDDL(schema).fields]
+    Of ``df``, the columns in ``keep`` stay (all by default) and are not touched; one that has the name of a
+    new column is replaced.
+    """
+    fields = _arrow_fields(schema)
+    new = {name for name, _ in fields}
+    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            made = work(batch.column(USED).to_pylist())
+            arrays = [*(batch.column(c) for c in kept), *(pa.array(made[n], t) for n, t in fields)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *(n for n, _ in fields)])
+
+    types = StructType([*(df.schema[c] for c in kept), *StructType.fromDDL(schema).fields])
+    source = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{using}`").alias(USED))
+    return source.mapInArrow(batches, types)
+
+
+# Name under which a batch has the column that is worked on.
+USED = "__used"
+
+
+def _arrow_fields(schema: str) -> list[tuple[str, pa.DataType]]:
+    return [(field.name, to_arrow_type(field.dataType)) for field in StructType.fromDDL(schema).fields]
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import bpe, common, grid_join, lines, minhash, secrets, sharding
+from newsalpha.llm import benchmark, bpe, common, grid_join, language, lines, minhash, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,7 +75,21 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.encode(common.table(spark, folder, "documents"), *bpe.public_tokenizer(), output="digests")
+    return bpe.encode(common.table(spark, folder, "documents"), *bpe.public_tokenizer(), output="digests", keep=["doc_id"])
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.table(spark, folder, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.identify(docs, model, keep=["doc_id"]).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.table(spark, folder, "documents").select("doc_id", "text")
+    found = benchmark.contamination(docs, common.table(spark, folder, "benchmark"), percent=80)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 @query("op10_minhash_forest")
