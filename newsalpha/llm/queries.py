@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import benchmark, bpe, common, grid_join, language, lines, minhash, secrets, sharding
+from newsalpha.llm import benchmark, bpe, common, grid_join, language, lines, minhash, secrets, sharding, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,6 +92,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+@query("op9_main_text")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_text(common.table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op10_minhash_forest")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(common.table(spark, folder, "documents"), words=4, percent=80)
