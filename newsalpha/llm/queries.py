@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import benchmark, bpe, common, grid_join, language, lines, minhash, secrets, sharding, wrappers
+from newsalpha.llm import benchmark, bpe, common, edits, grid_join, language, lines, minhash, secrets, sharding, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(common.table(spark, folder, "documents"), *bpe.public_tokenizer(), output="digests", keep=["doc_id"])
 
 
+@query("op6_token_counts")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.table(spark, folder, "documents").select("doc_id", "text")
+    counted = edits.count_edited(docs, edits.sample_edits(), *bpe.public_tokenizer(), keep=["doc_id"], leaves=False)
+    return counted.select("doc_id", "n_tokens", "n_pieces", "n_tokens_before", "n_edits", "n_recounted")
+
+
 @query("op7_language_id")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.table(spark, folder, "documents")
