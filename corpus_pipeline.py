@@ -6,20 +6,65 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from newsalpha.llm import bpe, common  # noqa: E402
+from newsalpha.llm import benchmark, bpe, common, language, lines, minhash  # noqa: E402
 from newsalpha.session import shared_folder  # noqa: E402
 
+# Below this a language is less certain than two even guesses, one for the family and one within it.
+LEAST_SCORE = 0.25
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Id, text and the whole row, so that no column of an operator meets one of the documents."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labels teach: those that are undetermined or a guess go."""
+    common.prepare(spark)
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.identify(_packed(docs), model, keep=["row"])
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier line repeats; ``n_chars`` follows the text."""
+    common.prepare(spark)
+    cleaned = lines.deduplicate_lines(_packed(docs), percent=80)
+    values = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("long"), F.col("row.n_chars"))}
+    return cleaned.select(*(values.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    common.prepare(spark)
+    found = minhash.near_duplicates(docs, words=5, percent=80)
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    common.prepare(spark)
+    found = benchmark.contamination(_packed(docs).select("text", "row"), common.table(spark, sf_dir, "benchmark"), percent=80)
+    return found.where(F.size("leaks") == 0).select("row.*")
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and of decoded bytes, per document."""
+    """Number of tokens and digests of ids and decoded bytes, per document."""
     common.prepare(spark)
-    return bpe.encode(docs, *bpe.public_tokenizer(), output="digests")
+    kept = [c for c in docs.columns if c != "text"]
+    return bpe.encode(docs, *bpe.public_tokenizer(), output="digests", keep=kept)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("byte_bpe", encode),
 ]
 
