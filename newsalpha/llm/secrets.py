@@ -17,7 +17,7 @@ KINDS = ("assign", "access", "hex", "novel")
 # Words that make their surroundings sensitive; a keyword of ASSIGN contains one of the first four.
 SENSITIVE = ("passw", "secret", "token", "key", "credential", "bearer", "auth", "private", "pwd", "login")
 # A candidate for the novelty test, and how far behind a sensitive word it may start.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 REACH = 64
 # Characters before a candidate that it is measured against.
 CONTEXT = 256
@@ -28,6 +28,7 @@ FOUND = f"doc_id {{kind}}, base array<{SPAN}>, candidates array<struct<start: in
 _assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _access = re.compile(ACCESS)
 _hex = re.compile(r"[0-9a-f]{24,}")  # a run of HEX is always matched whole
+_opening = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16}")
 _sensitive = re.compile("|".join(SENSITIVE))
 
 
@@ -53,12 +54,12 @@ def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[i
         return []
     made, taken, done = [], [(s[1], s[2]) for s in base], 0
     for word in _sensitive.finditer(lower):
-        for m in CANDIDATE.finditer(text, max(done, word.end()), word.end() + REACH):
-            start, end = m.start(), m.end()
-            while end < len(text) and CANDIDATE.match(text[start : end + 1]):
-                end += 1
+        for m in _opening.finditer(text, max(done, word.end()), word.end() + REACH + 16):
+            if m.start() < done:
+                continue
+            start, end = CANDIDATE.match(text, m.start()).span()
             done = end
-            if (start == 0 or not CANDIDATE.match("x" * 15 + text[start - 1])) and not any(a < end and start < b for a, b in taken):
+            if not any(a < end and start < b for a, b in taken):
                 made.append((start, end, text[max(0, start - CONTEXT) : start], text[start:end]))
     return made
 
