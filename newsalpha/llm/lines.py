@@ -1,7 +1,6 @@
 """Removal of repeated and nearly repeated lines by an exact set-similarity join."""
 
 from functools import reduce
-from math import log2
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +9,10 @@ from pyspark.sql import functions as F
 from newsalpha.llm.common import staged
 
 # Counters of the rarity of tokens, a power of two, and the bits of a token's number below its rarity.
-COUNTERS = 1 << 16
-TOKEN_BITS = 58
+COUNTERS = 1 << 20
+TOKEN_BITS = 57
+# Sets of more tokens than this have a second bitmap.
+WIDE = 64
 
 # Splits a line into words; a line without them is left alone.
 SPACES = r"\s+"
@@ -26,32 +27,41 @@ def _tokens(line: Column) -> Column:
 
 
 def _rarity(rows: DataFrame) -> bytes:
-    """Octave of the number of lines that the tokens of each counter stand in, over all lines: one byte per counter."""
+    """Number of lines that the tokens of each counter stand in, over all lines, as twice its binary logarithm.
+
+    One byte per counter, whatever the table: the cluster packs them by thousands, the driver joins the packs.
+    """
+    counters = rows.sparkSession.range(COUNTERS).select(F.col("id").alias("counter"), F.lit(0).cast("long").alias("n"))
     counted = (
         rows.select(F.explode(F.split("text", "\n")).alias("string"))
         .select(F.explode(_tokens(F.col("string"))).alias("token"))
         .groupBy(F.col("token").bitwiseAND(COUNTERS - 1).alias("counter")).agg(F.count("*").alias("n"))
+        .unionByName(counters).groupBy("counter").agg(F.sum("n").alias("n"))
+        .select((F.col("counter") / 4096).cast("int").alias("pack"), F.struct("counter", F.expr("cast(least(63, 2 * log2(n + 1)) as int)").alias("level")).alias("c"))
+    )
+    packs = counted.groupBy("pack").agg(F.sort_array(F.collect_list("c")).alias("cs")).select(
+        "pack", F.expr("unhex(array_join(transform(cs, c -> lpad(hex(c.level), 2, '0')), ''))").alias("levels")
     )
-    octaves = bytearray(COUNTERS)
-    for row in counted.collect():  # at most COUNTERS rows
-        octaves[row["counter"]] = min(31, int(log2(row["n"])))
-    return bytes(octaves)
+    return b"".join(bytes(row["levels"]) for row in packs.orderBy("pack").collect())
 
 
 def _ordered(tokens: Column, rarity: bytes) -> Column:
-    """Tokens as numbers that sort by octave, rarest first, then by the token's own number."""
+    """Tokens as numbers that sort by rarity, rarest first, then by the token's own number."""
     table = F.lit(rarity)
 
     def number(token: Column) -> Column:
         place = (token.bitwiseAND(COUNTERS - 1) + 1).cast("int")
-        octave = F.ascii(F.substring(table, place, F.lit(1)).cast("string"))
-        return F.shiftleft(octave.cast("long"), TOKEN_BITS).bitwiseOR(token.bitwiseAND((1 << TOKEN_BITS) - 1))
+        level = F.ascii(F.substring(table, place, F.lit(1)).cast("string"))
+        return F.shiftleft(level.cast("long"), TOKEN_BITS).bitwiseOR(token.bitwiseAND((1 << TOKEN_BITS) - 1))
 
     return F.sort_array(F.transform(tokens, number))
 
 
 def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
-    """One row per distinct set: its first line, size, prefix tokens and a bitmap of the parity of its tokens."""
+    """One row per distinct set: its first line, size, prefix tokens and bitmaps of the parity of its tokens.
+
+    The tokens with an odd or even seventh bit have a bitmap each if the set is large; otherwise both share one.
+    """
     sets = rows.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "string")).select(
         F.struct(*LINE).alias("first"), _ordered(_tokens(F.col("string")), rarity).alias("tokens")
     ).where("size(tokens) > 0")
@@ -62,26 +72,31 @@ def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
             F.size("tokens").alias("size"), "first",
             F.expr(f"transform(slice(tokens, 1, size(tokens) - {least} + 1), t -> hash(t))").alias("prefix"),
             F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))").alias("bitmap"),
+            F.expr(f"""if(size(tokens) <= {WIDE}, null, aggregate(tokens, 0L,
+                (bits, t) -> if(t & 64 = 0, bits, bits ^ shiftleft(1L, cast(t & 63 as int)))))""").alias("odd"),
         )
         .groupBy("h", "g", "size")
-        .agg(F.min("first").alias("first"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"))
+        .agg(F.min("first").alias("first"), *(F.first(c).alias(c) for c in ("prefix", "bitmap", "odd")))
         .withColumn("id", F.monotonically_increasing_id())
     )
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a prefix token and that no bound on their overlap rules out."""
-    postings = classes.select("id", "size", "bitmap", F.posexplode("prefix").alias("place", "token"))
-    a, b = (postings.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "place"))) for side in "ab")
+    postings = classes.select("id", "size", "bitmap", "odd", F.posexplode("prefix").alias("place", "token"))
+    a, b = (postings.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "odd", "place"))) for side in "ab")
     whole = "(a_size + b_size)"
     # Overlap o is enough when (100 + percent) * o >= percent * whole.
     enough = f"{100 + percent} * ({{}}) >= {percent} * {whole}"
+    # Tokens that only one of the sets has, at least: bits that differ, in both bitmaps where both sets are large.
+    both, odd = "(a_bitmap ^ b_bitmap)", "(a_odd ^ b_odd)"
+    differ = f"coalesce(bit_count({odd}) + bit_count({both} ^ {odd}), bit_count({both}))"
     return (
         a.join(b, "token")
         .where("a_id < b_id")
         .where(f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
         .where(enough.format("least(a_size - a_place, b_size - b_place)"))
-        .where(f"{100 + percent} * ({whole} - bit_count(a_bitmap ^ b_bitmap)) >= {2 * percent} * {whole}")
+        .where(f"{100 + percent} * ({whole} - {differ}) >= {2 * percent} * {whole}")
         .select("a_id", "b_id").distinct()
     )
 
