@@ -193,7 +193,8 @@ def _likely(pairs: DataFrame, signatures: DataFrame, share: float) -> DataFrame:
 def _checked(pairs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs whose full sets are alike enough. The texts of pairs only are shuffled."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(source.join(named, "doc_id", "left_semi").repartition("doc_id"), "texts")
+    # The ids of pairs grow with the texts: they are shuffled at every size, never broadcast.
+    texts = staged(source.join(named.hint("merge"), "doc_id", "left_semi"), "texts")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
