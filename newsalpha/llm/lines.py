@@ -126,8 +126,11 @@ def _later(classes: DataFrame, rows: DataFrame, rarity: bytes, percent: int) ->
 
 
 def _match(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "inner") -> DataFrame:
-    """Join on equal keys, where null equals null; the keys of the left side stay."""
-    other = right.select(*(F.col(c).alias(f"r_{c}" if c in keys else c) for c in right.columns))
+    """Join on equal keys, where null equals null; the keys of the left side stay.
+
+    Both sides grow with the texts, so they are shuffled at every size and never broadcast.
+    """
+    other = right.select(*(F.col(c).alias(f"r_{c}" if c in keys else c) for c in right.columns)).hint("merge")
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys))
     return left.join(other, same, how).drop(*(f"r_{k}" for k in keys))
 
