@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsalpha.catalog.base import DAILY, PANEL, SECTORED, Tables, query, rounded
 from newsalpha.catalog.joins import built_panel, daily, sectored
 from newsalpha.catalog.summaries import PREDICTED, predicted
-from newsalpha.operators import decomposition, embedding, evaluation, labels, logistic, portfolio, rolling, similarity
+from newsalpha.operators import decomposition, embedding, evaluation, labels, logistic, panel, portfolio, rolling, sectors, similarity
 from newsalpha.operators.sampling import sample_n
 from newsalpha.session import shared_folder
 
@@ -41,6 +41,19 @@ def top_n_nearest(t):
     return rounded(similarity.top_n_nearest(t("embeddings"), panel_of(t, 5), "vec_id"))
 
 
+@query(f"""WITH {drawn(PANEL_SIZE)},
+pairs AS (
+  SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(a.v, b.v), 9) AS cosine
+  FROM drawn a JOIN drawn b ON a.vec_id < b.vec_id)
+SELECT id_a, id_b, round(cosine, 6) AS cosine, 'most' AS which FROM (SELECT * FROM pairs ORDER BY cosine DESC, id_a, id_b LIMIT 1) x
+UNION ALL
+SELECT id_a, id_b, round(cosine, 6), 'least' FROM (SELECT * FROM pairs ORDER BY cosine, id_a, id_b LIMIT 1) y""")
+def extreme_pairs_within(t):
+    """The extremes among the sampled rows themselves."""
+    sample = panel_of(t)
+    return rounded(similarity.extreme_pairs(sample, sample, "vec_id"))
+
+
 @query(f"""WITH {drawn(PANEL_SIZE)},
 pairs AS (
   SELECT DISTINCT least(a.vec_id, b.vec_id) AS id_a, greatest(a.vec_id, b.vec_id) AS id_b,
@@ -77,7 +90,7 @@ def mean_pool(t):
 
 
 HASHED = """hashed AS (
-  SELECT id, chunk, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 64 AS pos,
+  SELECT id, chunk, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 768 AS pos,
     CASE WHEN CAST(('0x' || substr(md5(word), 9, 1)) AS BIGINT) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign
   FROM words),
 summed AS (SELECT id, chunk, pos, sum(sign) AS s FROM hashed GROUP BY id, chunk, pos),
@@ -92,7 +105,7 @@ SELECT s.id AS rp_story_id, CAST(s.pos AS INT) AS pos, round(s.s / l.len, 5) AS
 FROM summed s JOIN lengths l ON l.id = s.id AND l.chunk = s.chunk WHERE s.s <> 0""")
 def embed_headlines(t):
     """Non-zero entries of the default embedder's vectors."""
-    vectors = embedding.embed_headlines(t("fx_headlines"), embedding.hashing_embedder(64))
+    vectors = embedding.embed_headlines(t("fx_headlines"), embedding.hashing_embedder())
     entries = vectors.select("rp_story_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "value"))
     return entries.where(F.col("value") != 0).withColumn("value", F.round("value", 5))
 
@@ -113,7 +126,7 @@ SELECT s.id AS doc_id, round(sum(abs(total / n)), 3) AS l1_norm, round(sum(total
 FROM scaled s JOIN chunks c ON c.id = s.id GROUP BY s.id""")
 def chunk_embed_average(t):
     """Two checksums of each document's mean chunk vector, whole texts."""
-    vectors = embedding.chunk_embed_average(t("documents"), "doc_id", "text", embedding.hashing_embedder(64))
+    vectors = embedding.chunk_embed_average(t("documents"), "doc_id", "text", embedding.hashing_embedder())
 
     def total(entry):
         return F.round(F.aggregate(F.transform("embedding", entry), F.lit(0.0), lambda a, x: a + x), 3)
@@ -121,18 +134,44 @@ def chunk_embed_average(t):
     return vectors.select("doc_id", total(F.abs).alias("l1_norm"), total(lambda x: x).alias("entry_sum"))
 
 
-@query()
+@query("""
+WITH entries AS (SELECT vec_id, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS e FROM {embeddings}),
+centred AS (SELECT vec_id, e - avg(e) OVER (PARTITION BY pos) AS e FROM entries)
+SELECT vec_id, round(sum(e * e), 5) AS squared_distance, 1.0::DOUBLE AS all_shares FROM centred GROUP BY vec_id""")
 def pca_project(t):
-    projected, share = decomposition.pca_project(t("embeddings"), "vec_id")
-    return projected.select(
-        "vec_id", F.col("components")[0].alias("pc1"), F.col("components")[1].alias("pc2"),
-        F.lit(share[0]).alias("share1"), F.lit(share[1]).alias("share2"),
+    """All components: they keep the distance of each row from the mean, and their shares add up to one."""
+    dims = t("embeddings").select(F.max(F.size("embedding"))).first()[0]
+    projected, share = decomposition.pca_project(t("embeddings"), "vec_id", k=dims)
+    squares = F.aggregate("components", F.lit(0.0), lambda total, x: total + x * x)
+    return projected.select("vec_id", F.round(squares, 5).alias("squared_distance"), F.lit(round(sum(share), 6)).alias("all_shares"))
+
+
+TFIDF = """counted AS (
+  SELECT doc_id, word, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}')) AS word FROM {documents}) x
+  GROUP BY doc_id, word),
+frequency AS (SELECT word, count(*) AS df FROM counted GROUP BY word),
+weighted AS (
+  SELECT doc_id, c.word, n * (ln((1 + (SELECT count(*) FROM {documents})) / (1.0 + df)) + 1) AS w
+  FROM counted c JOIN frequency f ON f.word = c.word)"""
+
+
+@query(f"""WITH {TFIDF.replace("{{", "{").replace("}}", "}")}
+SELECT doc_id, count(*) AS n_words, round(sum(w / len), 5) AS total, round(max(w / len), 5) AS largest, max(word) AS last_word FROM (
+  SELECT doc_id, word, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS len FROM weighted) x GROUP BY doc_id""")
+def tfidf_weights(t):
+    """Number, sum and largest of each document's weights, and its last word."""
+    docs = t("documents")
+    entries = decomposition.fit_tfidf(docs, "text").entries(docs, "doc_id", "text")
+    return entries.groupBy("doc_id").agg(
+        F.count("*").alias("n_words"), F.round(F.sum("weight"), 5).alias("total"), F.round(F.max("weight"), 5).alias("largest"),
+        F.max("word").alias("last_word"),
     )
 
 
 @query()
 def tfidf_svd(t):
-    return decomposition.tfidf_svd(t("documents"), "doc_id", "text", k=64, columns=1 << 15)
+    return decomposition.tfidf_svd(t("documents"), "doc_id", "text")
 
 
 @query("""
@@ -162,6 +201,102 @@ def window_split_counts(t):
     return rolling.window_split_counts(t("fx_labeled"))
 
 
+# Logistic regressions of one standardized feature by Newton's method: rows of ``training`` (run, x, y), one fit per run and C.
+NEWTON = """moments AS (SELECT run, avg(x) AS m, stddev_pop(x) AS s FROM training GROUP BY run),
+scaled AS (SELECT t.run, (x - m) / s AS x, y FROM training t JOIN moments o ON o.run = t.run),
+steps AS (
+  SELECT DISTINCT run, c, 0 AS step, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b FROM scaled, (VALUES (1e-4), (1e-3), (1e-2), (1e-1), (1.0)) g(c)
+  UNION ALL
+  SELECT run, c, step + 1, w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb), b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb)
+  FROM (
+    SELECT run, c, step, w, b, c * sum((p - y) * x) + w AS gw, c * sum(p - y) AS gb,
+      c * sum(p * (1 - p) * x * x) + 1 AS hww, c * sum(p * (1 - p) * x) AS hwb, c * sum(p * (1 - p)) AS hbb
+    FROM (SELECT s.run, c, step, w, b, x, y, 1 / (1 + exp(-(w * x + b))) AS p FROM steps s JOIN scaled d ON d.run = s.run WHERE step < 12) u
+    GROUP BY run, c, step, w, b) v),
+fits AS (SELECT * FROM steps WHERE step = 12),
+rated AS (
+  SELECT f.run, f.c, f.w, f.b, o.m, o.s, avg(CASE WHEN (1 / (1 + exp(-(f.w * (v.x - o.m) / o.s + f.b))) > 0.5) = (v.y = 1) THEN 1 ELSE 0 END) AS hits,
+    count(*) AS n_val
+  FROM fits f JOIN moments o ON o.run = f.run JOIN validation v ON v.run = f.run GROUP BY ALL),
+chosen AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY run ORDER BY hits DESC, c) = 1)"""
+
+# The first entry of the story's vector, in the windows of the rolling run and in the split of the single fits.
+FEATURE = """feature AS (
+  SELECT l.rp_story_id, l.permno, l.article_date, l.market_cap, year(l.article_date) AS y4, l.label AS y, e.embedding[1]::DOUBLE AS x
+  FROM fx_labeled l JOIN {embeddings} e ON e.vec_id = l.vec_id)"""
+
+ROLLED = f"""RECURSIVE {FEATURE}, {SPLITS},
+usable AS (SELECT oos_year AS run FROM counts WHERE n_train >= 100 AND n_val >= 10 AND n_test >= 10),
+training AS (SELECT run, x, y FROM usable JOIN feature ON y4 BETWEEN run - 4 AND run - 2),
+validation AS (SELECT run, x, y FROM usable JOIN feature ON y4 = run - 1),
+{NEWTON},
+rolled AS (
+  SELECT f.rp_story_id, f.permno, f.article_date, f.market_cap, c.run AS oos_year, 1 / (1 + exp(-(c.w * (f.x - c.m) / c.s + c.b))) AS p_up
+  FROM chosen c JOIN feature f ON f.y4 = c.run)"""
+
+FITTED = f"""RECURSIVE {FEATURE}, last AS (SELECT max(y4) AS z FROM feature),
+training AS (SELECT 1 AS run, x, y FROM feature, last WHERE y4 < z - 1),
+validation AS (SELECT 1 AS run, x, y FROM feature, last WHERE y4 = z - 1),
+{NEWTON}"""
+
+
+def first_entries(t):
+    return story_vectors(t).withColumn("embedding", F.slice("embedding", 1, 1))
+
+
+@query(f"WITH {ROLLED} SELECT rp_story_id, CAST(oos_year AS INT) AS oos_year, round(p_up, 3) AS p_up FROM rolled")
+def rolling_oos_one_feature(t):
+    """The rolling run with vectors of one entry, for which the fits can be repeated in SQL."""
+    found = rolling.rolling_oos(t("fx_labeled"), first_entries(t)).predictions
+    return found.select("rp_story_id", "oos_year", F.round("p_up", 3).alias("p_up"))
+
+
+@query(f"""WITH {FITTED}
+SELECT c AS best_c, round(hits, 6) AS val_accuracy, (SELECT count(*) FROM training) AS n_train, n_val, round(b, 3) AS intercept, round(w, 3) AS weight FROM chosen""")
+def train_logistic_one_feature(t):
+    model, _ = fitted(t, first_entry=True)
+    return t.spark.createDataFrame(
+        [(model.best_c, round(model.val_accuracy, 6), model.n_train, model.n_val, round(model.model.intercept, 3), round(float(model.model.coefficients[0]), 3))],
+        "best_c double, val_accuracy double, n_train bigint, n_val bigint, intercept double, weight double",
+    )
+
+
+@query(f"""WITH {FITTED}
+SELECT rp_story_id, CAST(y AS DOUBLE) AS label, round(1 / (1 + exp(-(w * (x - m) / s + b))), 3) AS p_up FROM chosen, feature, last WHERE y4 = z""")
+def predict_proba_one_feature(t):
+    model, test = fitted(t, first_entry=True)
+    return model.predict_proba(test).select("rp_story_id", "label", F.round("p_up", 3).alias("p_up"))
+
+
+@query(f"""WITH {FEATURE}, last AS (SELECT max(y4) AS z FROM feature),
+rows_ AS (SELECT rp_story_id, x, ln(market_cap) AS y, y4, z FROM feature, last),
+sums AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS xy, var_pop(x) AS xx FROM rows_ WHERE y4 < z - 1),
+lines AS (
+  SELECT alpha, xy / (xx + alpha) AS w, my - xy / (xx + alpha) * mx AS b
+  FROM sums, (VALUES (1e-5), (1e-4), (1e-3), (1e-2), (1e-1), (1.0), (10.0), (50.0), (100.0)) g(alpha)),
+errors AS (SELECT alpha, w, b, avg(pow(y - w * x - b, 2)) AS mse FROM lines, rows_ WHERE y4 = z - 1 GROUP BY ALL),
+best AS (SELECT * FROM errors ORDER BY mse, alpha LIMIT 1)
+SELECT rp_story_id, round(w * x + b, 5) AS predicted_return, CAST(alpha AS DOUBLE) AS best_alpha, round(mse, 5) AS val_mse FROM best, rows_ WHERE y4 = z""")
+def train_ridge_one_feature(t):
+    """On one entry of the vector ridge regression has a closed form."""
+    return rounded(ridge(t, first_entry=True), 5)
+
+
+@query(f"""WITH {ROLLED},
+sectors_of AS (SELECT permno, min(gsector) AS gsector FROM fx_spells GROUP BY permno)
+SELECT gsector, article_date AS date, round(sum((p_up - 0.5) * market_cap) / sum(market_cap), 3) AS sentiment, count(*) AS n_headlines
+FROM rolled JOIN sectors_of s ON s.permno = rolled.permno WHERE gsector IS NOT NULL AND market_cap > 0 GROUP BY gsector, article_date""")
+def vectors_to_sector_scores(t):
+    """The chain from vectors through the rolling run to the scores of the sector panel."""
+    labeled = t("fx_labeled")
+    predictions = rolling.rolling_oos(labeled, first_entries(t)).predictions
+    spells = t("fx_spells").groupBy("permno").agg(F.min("gsector").alias("gsector")).select(
+        "permno", "gsector", F.lit("1990-01-01").cast("date").alias("effstartdt"), F.lit("2030-01-01").cast("date").alias("effenddt")
+    )
+    scored = panel.join_predictions(sectors.merge_sector(labeled, spells), predictions)
+    return rounded(panel.aggregate_sentiment(scored).select("gsector", "date", "sentiment", "n_headlines"), 3)
+
+
 def examples(t):
     """Vectors with a label, as model input."""
     return t("embeddings").select(
@@ -180,16 +315,17 @@ def standardize(t):
     return rounded(scaled.select("vec_id", F.posexplode(vector_to_array("scaled")).alias("pos", "value")))
 
 
-def features_by_year(t):
+def features_by_year(t, first_entry: bool = False):
     labeled = t("fx_labeled")
-    vectors = t("embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    entries = F.col("embedding").cast("array<double>")
+    vectors = t("embeddings").select("vec_id", array_to_vector(F.slice(entries, 1, 1) if first_entry else entries).alias("features"))
     return labeled.join(vectors, "vec_id").select(
-        "rp_story_id", "permno", "article_date", F.col("label").cast("double").alias("label"), "features"
+        "rp_story_id", "permno", "article_date", "market_cap", F.col("label").cast("double").alias("label"), "features"
     )
 
 
-def fitted(t):
-    rows = features_by_year(t)
+def fitted(t, first_entry: bool = False):
+    rows = features_by_year(t, first_entry)
     year = F.year("article_date")
     last = rows.agg(F.max(year)).first()[0]
     return logistic.train_logistic(rows.where(year < last - 1), rows.where(year == last - 1)), rows.where(year == last)
@@ -214,10 +350,11 @@ def predict_proba(t):
 @query()
 def train_ridge(t):
     """Ridge of the market value's logarithm, standing in for a return, on the story's vector."""
-    target = F.log("market_cap").alias("ret")
-    rows = t("fx_labeled").select("rp_story_id", "vec_id", "article_date", target)
-    vectors = t("embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    rows = rows.join(vectors, "vec_id")
+    return ridge(t)
+
+
+def ridge(t, first_entry: bool = False):
+    rows = features_by_year(t, first_entry).withColumn("ret", F.log("market_cap"))
     year = F.year("article_date")
     last = rows.agg(F.max(year)).first()[0]
     model = logistic.train_ridge(rows.where(year < last - 1), rows.where(year == last - 1))
@@ -263,8 +400,8 @@ def rolling_resume(t):
     folder = f"{shared_folder(t.spark)}/rolling-{uuid.uuid4().hex}"
     labeled, vectors = t("fx_labeled"), story_vectors(t)
     last = labeled.agg(F.max("article_date")).first()[0]
-    rolling.rolling_resume(labeled.where(F.col("article_date") < f"{last.year}-01-01"), vectors, folder, c_grid=(0.01, 1.0))
-    return coverage(rolling.rolling_resume(labeled, vectors, folder, c_grid=(0.01, 1.0)))
+    rolling.rolling_resume(labeled.where(F.col("article_date") < f"{last.year}-01-01"), vectors, folder)
+    return coverage(rolling.rolling_resume(labeled, vectors, folder))
 
 
 @query(f"""WITH {SPLITS}
@@ -273,7 +410,7 @@ FROM counts CROSS JOIN (VALUES ('negated'), ('plain')) m(model) WHERE n_train >=
 def run_models(t):
     plain = story_vectors(t)
     negated = plain.withColumn("embedding", F.transform("embedding", lambda x: -x))
-    result = rolling.run_models(t("fx_labeled"), {"plain": plain, "negated": negated}, c_grid=(0.01, 1.0))
+    result = rolling.run_models(t("fx_labeled"), {"plain": plain, "negated": negated})
     return coverage(result, "model")
 
 

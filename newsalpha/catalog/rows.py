@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from newsalpha.catalog.base import DAILY, NAMES, query, rounded
+from newsalpha.constants import NAME_SUFFIXES
 from newsalpha.functions import dates, numbers, text, vectors
 from newsalpha.operators import filters, linking, macro, sectors, statistics
 from newsalpha.operators.labels import assign_binary_label
@@ -55,6 +56,15 @@ def filter_common_stock(t):
     return new.unionByName(filters.filter_common_stock(coded).select(*columns, F.lit("old").alias("layout")))
 
 
+@query("""
+SELECT permno, secinfostartdt, CASE WHEN usincflg = 'N' THEN 'FUND' ELSE securitytype END AS securitytype
+FROM fx_sec_hist WHERE usincflg <> 'N'""")
+def filter_equity(t):
+    """Some histories count as funds, so that there is something to leave out."""
+    kinds = F.when(F.col("usincflg") == "N", "FUND").otherwise(F.col("securitytype"))
+    return filters.filter_equity(t("fx_sec_hist").withColumn("securitytype", kinds)).select("permno", "secinfostartdt", "securitytype")
+
+
 @query("SELECT permno, date, ret FROM fx_daily WHERE ret IS NOT NULL")
 def drop_null_keys(t):
     return filters.drop_null_keys(t("fx_daily"), "permno", "ret").select("permno", "date", "ret")
@@ -172,10 +182,7 @@ def char_word_counts(t):
     return statistics.char_word_counts(t("documents"), "text").select("doc_id", "characters", "words")
 
 
-SUFFIX_SQL = (
-    "inc|corp|corporation|co|company|ltd|limited|llc|lp|plc|group|holdings|holding|enterprises|enterprise|intl|"
-    "international|technologies|technology|systems|industries|services|bancorp|bancshares|financial"
-)
+SUFFIX_SQL = "|".join(NAME_SUFFIXES)
 NORMALIZED = rf"""
 trim(regexp_replace(regexp_replace(regexp_replace(lower(comnam), '[&.'',]', ' ', 'g'),
   '\b({SUFFIX_SQL})\b', ' ', 'g'), '\s+', ' ', 'g'))"""

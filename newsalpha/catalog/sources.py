@@ -88,11 +88,11 @@ def write_dataset_query(t):
     return rounded(stored, 9).withColumn("label", F.col("label").cast("int"))
 
 
-@query("SELECT DISTINCT rp_story_id, CAST(1 AS BIGINT) AS copies, CAST(64 AS BIGINT) AS dims FROM fx_headlines",
+@query("SELECT DISTINCT rp_story_id, CAST(1 AS BIGINT) AS copies, CAST(768 AS BIGINT) AS dims FROM fx_headlines",
        name="append_new_embeddings")
 def append_new_embeddings_query(t):
     """First the company news, then everything: the second run must only add what is missing."""
-    news, path, model = t("fx_headlines"), new_path(t, "vectors"), hashing_embedder(64)
+    news, path, model = t("fx_headlines"), new_path(t, "vectors"), hashing_embedder()
     append_new_embeddings(news.where(company_news()), path, model)
     append_new_embeddings(news, path, model)
     return t.spark.read.parquet(path).groupBy("rp_story_id").agg(

@@ -283,20 +283,43 @@ def common_ids(t):
 
 
 @query("""
-WITH a AS (SELECT vec_id AS id, round(embedding[1]::DOUBLE, 6) AS first_entry FROM {embeddings} WHERE label >= 3),
-b AS (SELECT vec_id AS id, round(-(embedding[1]::DOUBLE), 6) AS first_entry FROM {embeddings} WHERE label <= 6),
-shared AS (SELECT id FROM a INTERSECT SELECT id FROM b)
-SELECT 'ONE_' || CAST(id AS VARCHAR) AS rp_story_id, first_entry FROM a WHERE id IN (SELECT id FROM shared)
-UNION ALL SELECT 'TWO_' || CAST(id AS VARCHAR), first_entry FROM b WHERE id IN (SELECT id FROM shared)""")
+WITH a AS (SELECT vec_id AS id, embedding AS v FROM {embeddings} WHERE label >= 3),
+b AS (SELECT vec_id AS id, list_transform(embedding, lambda x: -x) AS v FROM {embeddings} WHERE label <= 6),
+shared AS (SELECT id FROM a INTERSECT SELECT id FROM b),
+named AS (
+  SELECT 'ONE_' || CAST(id AS VARCHAR) AS rp_story_id, v FROM a WHERE id IN (SELECT id FROM shared)
+  UNION ALL SELECT 'TWO_' || CAST(id AS VARCHAR), v FROM b WHERE id IN (SELECT id FROM shared))
+SELECT rp_story_id, CAST(generate_subscripts(v, 1) - 1 AS INT) AS pos, round(unnest(v)::DOUBLE, 6) AS value FROM named""")
 def compare_models_for_story(t):
-    """Every story that both models have."""
+    """Every story that both models have, all entries of the vectors."""
+    rows = reshape.compare_models(two_models(t))
+    return rows.select("rp_story_id", F.posexplode("embedding").alias("pos", "value")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 6)
+    )
+
+
+def two_models(t):
     vectors = t("embeddings").withColumnRenamed("vec_id", "rp_story_id")
-    one = vectors.where(F.col("label") >= 3).select("rp_story_id", "embedding")
-    two = vectors.where(F.col("label") <= 6).select(
-        "rp_story_id", F.transform("embedding", lambda x: -x).alias("embedding")
+    return {
+        "one": vectors.where(F.col("label") >= 3).select("rp_story_id", "embedding"),
+        "two": vectors.where(F.col("label") <= 6).select("rp_story_id", F.transform("embedding", lambda x: -x).alias("embedding")),
+    }
+
+
+@query("""
+WITH shared AS (SELECT min(vec_id) AS id FROM {embeddings} WHERE label BETWEEN 3 AND 6),
+vectors AS (SELECT vec_id, embedding AS v FROM {embeddings} WHERE vec_id = (SELECT id FROM shared)),
+named AS (
+  SELECT 'ONE_' || CAST(vec_id AS VARCHAR) AS rp_story_id, v FROM vectors
+  UNION ALL SELECT 'TWO_' || CAST(vec_id AS VARCHAR), list_transform(v, lambda x: -x) FROM vectors)
+SELECT rp_story_id, CAST(generate_subscripts(v, 1) - 1 AS INT) AS pos, round(unnest(v)::DOUBLE, 6) AS value FROM named""")
+def compare_one_story(t):
+    """The first story that both models have."""
+    story = t("embeddings").where(F.col("label").between(3, 6)).agg(F.min("vec_id")).first()[0]
+    rows = reshape.compare_models_for_story(two_models(t), story)
+    return rows.select("rp_story_id", F.posexplode("embedding").alias("pos", "value")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 6)
     )
-    rows = reshape.compare_models({"one": one, "two": two})
-    return rows.select("rp_story_id", F.round(F.col("embedding")[0].cast("double"), 6).alias("first_entry"))
 
 
 @query("SELECT ticker, date, adj_close FROM fx_etf")

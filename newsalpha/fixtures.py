@@ -144,7 +144,8 @@ def with_fixtures(text: str, table, rows) -> str:
     blocks = ",\n".join(f"{name} AS ({BLOCKS[name]})" for name in _needed(text))
     if blocks:
         head = text.lstrip()
-        text = f"WITH {blocks},\n{head[5:]}" if head[:5].upper() == "WITH " else f"WITH {blocks}\n{text}"
+        opening = re.match(r"WITH (RECURSIVE )?", head, re.I)
+        text = f"{opening[0]}{blocks},\n{head[opening.end():]}" if opening else f"WITH {blocks}\n{text}"
     text = re.sub(r"\{rows\((.*?)\)\}", lambda m: rows(m.group(1)), text)
     return re.sub(r"\{(" + "|".join(BASE_TABLES) + r")\}", lambda m: table(m.group(1)), text)
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsalpha.functions.numbers import sigmoid
+
 
 def as_doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
@@ -31,4 +33,4 @@ def combine(plus: Column, minus: Column, plus_too: Column) -> Column:
 
 def linear_score(vector: Column, weights: Column, intercept: Column) -> Column:
     """Logistic score of a vector under given weights."""
-    return 1 / (1 + F.exp(-(dot(vector, weights) + intercept)))
+    return sigmoid(dot(vector, weights) + intercept)

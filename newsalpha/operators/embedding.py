@@ -17,6 +17,8 @@ from newsalpha.functions.vectors import as_doubles, l2_normalize
 from newsalpha.sources.writers import append_dataset, stored_or_none
 
 BATCH_SIZE = 128
+# Texts of one task of a model.
+ROWS_PER_TASK = 50_000
 
 
 class Embedder(Protocol):
@@ -95,6 +97,14 @@ def embed_texts(texts: DataFrame, column: str, make: Callable[[], Embedder], bat
     return texts.mapInArrow(encode, f"{fields}, embedding array<float>")
 
 
+def spread(texts: DataFrame, *keys: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal texts out to tasks by number, since a model's time goes by texts and not by bytes.
+
+    A task that fails repeats ``rows_per_task`` texts, not a whole file split.
+    """
+    return texts.repartition(max(1, -(-texts.count() // rows_per_task)), *keys)
+
+
 def embed_headlines(headlines: DataFrame, make: Callable[[], Embedder] = HashingEmbedder, key: str = "rp_story_id", normalize: bool = False, prompt: str = "") -> DataFrame:
     """(story, embedding), one row per story; a missing headline counts as empty.
 
@@ -104,7 +114,7 @@ def embed_headlines(headlines: DataFrame, make: Callable[[], Embedder] = Hashing
     """
     stories = headlines.groupBy(key).agg(F.coalesce(F.min("headline"), F.lit("")).alias("headline"))
     texts = stories.select(F.concat(F.lit(prompt), "headline").alias("text"), "headline").distinct()
-    vectors = embed_texts(texts, "text", make)
+    vectors = embed_texts(spread(texts, "headline"), "text", make)
     if normalize:
         vectors = vectors.withColumn("embedding", l2_normalize(F.col("embedding")).cast("array<float>"))
     return stories.join(vectors, "headline").select(key, "embedding")
@@ -149,7 +159,7 @@ def chunk_embed_average(texts: DataFrame, key: str, column: str, make: Callable[
         texts.select(key, words.alias("words"))
         .select(key, F.explode(F.transform(starts, lambda s: F.array_join(F.slice("words", s, F.lit(chunk_words)), " "))).alias("chunk"))
     )
-    vectors = embed_texts(chunks, "chunk", make).withColumn("attention_mask", F.lit(1))
+    vectors = embed_texts(spread(chunks, key, "chunk"), "chunk", make).withColumn("attention_mask", F.lit(1))
     return mean_pool(vectors, key)
 
 
@@ -177,5 +187,5 @@ def tokenizer_udf(count: Callable[[list[str]], list[int]]) -> Callable[[Column],
     return lengths
 
 
-def hashing_embedder(size: int) -> Callable[[], Embedder]:
+def hashing_embedder(size: int = 768) -> Callable[[], Embedder]:
     return partial(HashingEmbedder, size)

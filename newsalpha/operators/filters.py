@@ -43,6 +43,11 @@ def date_split(df: DataFrame, start: str, end: str, column: str = "article_date"
     return df.where(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def filter_equity(df: DataFrame) -> DataFrame:
+    """Equity of any kind, the broad filter of the monthly file."""
+    return df.where(F.col("securitytype") == "EQTY")
+
+
 def filter_common_stock(df: DataFrame) -> DataFrame:
     """Ordinary common shares, by security type or, in the old layout, by share code."""
     if "shrcd" in df.columns:
@@ -67,6 +72,7 @@ def daily_market_cap(df: DataFrame) -> DataFrame:
 
 def monthly_adjusted_cap(df: DataFrame) -> DataFrame:
     """Monthly file: common names, split-adjusted price, shares and market value."""
+    # Names of the monthly file and what they are called here.
     df = df.withColumnsRenamed(
         {
             "mthcaldt": "date",

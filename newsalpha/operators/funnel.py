@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsalpha.constants import FUNNEL_STAGES
+from newsalpha.constants import FUNNEL_LABELS, FUNNEL_STAGES
 from newsalpha.functions.numbers import percent
 from newsalpha.operators.filters import filter_headline_length, long_enough
 from newsalpha.operators.sessions import shift_opening_window
@@ -86,7 +86,7 @@ def funnel_stage_counts(news: DataFrame, daily: DataFrame, calendar: DataFrame,
         F.count_if(long).alias("3_length_filter"),
         F.countDistinct(F.when(long, F.struct("permno", "article_date", "headline"))).alias("4_deduplicated"),
     )
-    names = [stage for stage, _ in FUNNEL_STAGES]
+    names = FUNNEL_STAGES
     return counts.unpivot([], names, "stage", "n")
 
 
@@ -103,7 +103,7 @@ def funnel_table(stage_counts: DataFrame) -> DataFrame:
     ordered = Window.orderBy("stage")
     raw = F.first("n").over(ordered)
     prior = F.lag("n").over(ordered)
-    labels = F.create_map(*(F.lit(text) for pair in FUNNEL_STAGES for text in pair))
+    labels = F.create_map(*(F.lit(text) for pair in FUNNEL_LABELS.items() for text in pair))
     return stage_counts.select(
         "stage",
         F.coalesce(F.element_at(labels, F.col("stage")), "stage").alias("label"),

@@ -1,19 +1,10 @@
-"""Helpers shared by the join operators."""
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
+"""Helpers shared by the join operators.
 
+No side is marked for broadcast here: adaptive execution measures the bytes of a side at run time and
+broadcasts it if they are few. Plans are built without running a job.
+"""
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast only after its rows have been counted.
-
-    The count stops at ``max_rows + 1``. A larger side comes back unmarked and takes
-    the shuffled join, where adaptive execution splits oversized keys.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+from pyspark.sql import functions as F
 
 
 def valid_on(day: str, start: str, end: str):

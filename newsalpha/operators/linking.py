@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from newsalpha.functions.text import isin_to_cusip, normalize_company_name
 from newsalpha.operators.filters import company_news
-from newsalpha.operators.joins import broadcast_if_small
 
 
 def build_crosswalk(securities: DataFrame, names: DataFrame) -> DataFrame:
@@ -27,7 +26,7 @@ def one_issuer_per_entity(crosswalk: DataFrame) -> DataFrame:
 def attach_permno(news: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """News rows with a known issuer. An inner join equals left join and null drop."""
     lookup = one_issuer_per_entity(crosswalk).withColumn("permno", F.col("permno").cast("bigint"))
-    return news.drop("permno").join(broadcast_if_small(lookup), "rp_entity_id")
+    return news.drop("permno").join(lookup, "rp_entity_id")
 
 
 def single_firm_stories(news: DataFrame, *more_keys: str, min_relevance: int = 90) -> DataFrame:
@@ -55,7 +54,7 @@ def single_firm_join(news: DataFrame, *more_keys: str, min_relevance: int = 90)
 
 def security_interval_join(daily: DataFrame, history: DataFrame, start: str = "secinfostartdt", end: str = "secinfoenddt") -> DataFrame:
     """Each daily row with the security description valid on that day."""
-    history = broadcast_if_small(history).alias("history")
+    history = history.alias("history")
     daily = daily.alias("daily")
     matched = daily.join(
         history,

@@ -17,18 +17,14 @@ from pyspark.sql import functions as F
 from newsalpha.constants import C_GRID, RIDGE_GRID
 
 
-# Bytes of features per task: a solver pass over less is mostly scheduling.
-TASK_BYTES = 16 << 20
-
-
-def standardize(train: DataFrame, features: str = "features", into: str = "scaled") -> PipelineModel:
-    """A scaler fitted on the training rows: mean zero, population variance one.
+def standardize(train: DataFrame, features: str = "features", into: str = "scaled", n: int | None = None) -> PipelineModel:
+    """A scaler fitted on the training rows, ``n`` of them if known: mean zero, population variance one.
 
     Spark divides by the sample deviation; a constant factor turns that into the
     population deviation.
     """
     scaler = StandardScaler(inputCol=features, outputCol="centred", withMean=True, withStd=True).fit(train)
-    n = train.count()
+    n = train.count() if n is None else n
     factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     stretch = ElementwiseProduct(
         scalingVec=Vectors.dense([factor] * len(scaler.mean)), inputCol="centred", outputCol=into
@@ -66,13 +62,10 @@ def train_logistic(train: DataFrame, validation: DataFrame, c_grid: Iterable[flo
     validation rows rates all of them. Equal accuracies go to the earlier C.
     """
     grid = list(c_grid)
-    scaler = standardize(train)
-    width = len(scaler.stages[0].mean)
-    scaled = scaler.transform(train).select("label", "scaled")
-    parts = math.ceil(train.count() * width * 8 / TASK_BYTES)
-    scaled = scaled.coalesce(max(parts, 1)).persist()
+    n = train.count()
+    scaler = standardize(train, n=n)
+    scaled = scaler.transform(train).select("label", "scaled").persist()
     try:
-        n = scaled.count()
         estimator = LogisticRegression(
             featuresCol="scaled", elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-6
         )

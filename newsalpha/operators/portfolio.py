@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.functions.numbers import ratio, weighted_mean
-from newsalpha.operators.ranking import sliced_ntile
+from newsalpha.operators.ranking import exact_ntile
 from newsalpha.operators.sectors import sector_on_daily
 
 TRADING_DAYS = 252
@@ -49,7 +49,7 @@ def quintile_portfolio(forecasts: DataFrame, groups: int = 5) -> DataFrame:
     Forecasts have one row per issuer and day.
     """
     complete = forecasts.select("permno", "date", "score", "ret").dropna(subset=["score", "ret"])
-    ranked = sliced_ntile(complete, "date", "score", "permno", groups, "bucket")
+    ranked = exact_ntile(complete, "date", "score", "permno", groups, "bucket")
     legs = ranked.groupBy("date").agg(
         F.avg(F.when(F.col("bucket") == groups, F.col("ret"))).alias("long_ret"),
         F.avg(F.when(F.col("bucket") == 1, F.col("ret"))).alias("short_ret"),

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.constants import (
@@ -76,6 +76,12 @@ def join_embeddings(labeled: DataFrame, embeddings: DataFrame, key: str = "rp_st
     return labeled.join(embeddings.select(key, "embedding"), key)
 
 
+def one_per_story(df: DataFrame, *order: str, key: str = "rp_story_id") -> DataFrame:
+    """The first row of each story in the given order."""
+    first = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("choice", F.row_number().over(first)).where(F.col("choice") == 1).drop("choice")
+
+
 @dataclass
 class RollingResult:
     metrics: DataFrame
@@ -95,13 +101,15 @@ def rolling_oos(
     """Train on past years, choose C on the validation years, predict the year after.
 
     Labels and vectors are joined once and staged by year, so each window reads only
-    its own years. The loop runs over years, of which there are few; every fit and
-    every prediction is a distributed job. ``caps`` limits rows per split by a
-    repeatable sample; without it all rows count.
+    its own years. A story counts once, with its earliest row and, of several vectors, the
+    smallest. Windows need enough rows that found a vector. The loop runs over years, of
+    which there are few; every fit and every prediction is a distributed job, and the
+    predictions of a year are written before they are rated. ``caps`` limits rows per
+    split by a repeatable sample; without it all rows count.
     """
     spark = labeled.sparkSession
     features = stage(
-        join_embeddings(labeled, embeddings.dropDuplicates(["rp_story_id"])).select(
+        join_embeddings(one_per_story(labeled, "article_date", "label"), one_per_story(embeddings, "embedding")).select(
             "rp_story_id",
             F.col("label").cast("double").alias("label"),
             F.col("embedding").cast("array<float>").alias("embedding"),
@@ -110,7 +118,8 @@ def rolling_oos(
         f"features-{model}",
         ("year",),
     ).select("rp_story_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "year")
-    usable = window_split_counts(labeled, train_years, val_years).where("usable").orderBy("oos_year")
+    joined = features.select(F.make_date("year", F.lit(1), F.lit(1)).alias("article_date"))
+    usable = window_split_counts(joined, train_years, val_years).where("usable").orderBy("oos_year")
     skip = set(skip_years)
     metrics, predictions = [], []
     for row in usable.toLocalIterator():
@@ -127,7 +136,7 @@ def rolling_oos(
             for name, span in spans.items()
         }
         fitted = train_logistic(split["train"], split["val"], c_grid)
-        scored = fitted.predict_proba(split["test"])
+        scored = stage(fitted.predict_proba(split["test"]).select("rp_story_id", "label", "p_up"), f"predictions-{model}")
         result = scored.agg(
             F.avg(((F.col("p_up") >= 0.5) == (F.col("label") == 1)).cast("int")).alias("accuracy"),
             F.count("*").alias("n_test"),
@@ -136,9 +145,7 @@ def rolling_oos(
             model, year, fitted.best_c, fitted.val_accuracy, result["accuracy"],
             fitted.n_train, fitted.n_val, result["n_test"],
         ))
-        predictions.append(
-            scored.select("rp_story_id", F.lit(year).alias("oos_year"), "p_up").dropDuplicates(["rp_story_id"])
-        )
+        predictions.append(scored.select("rp_story_id", F.lit(year).alias("oos_year"), "p_up"))
     empty = spark.createDataFrame([], SCHEMAS["predictions"])
     return RollingResult(
         spark.createDataFrame(metrics, SCHEMAS["rolling_metrics"]),
@@ -173,7 +180,11 @@ def rolling_resume(labeled: DataFrame, embeddings: DataFrame, folder: str, model
         todo = todo.join(stored.select("model", "oos_year").distinct(), ["model", "oos_year"], "left_anti")
     append_dataset(todo, predictions_path, ("model", "oos_year"))
     append_dataset(fresh.metrics, metrics_path)
-    return RollingResult(spark.read.parquet(metrics_path), spark.read.parquet(predictions_path))
+    # With the declared schemas, since a run without a usable window leaves folders without files.
+    return RollingResult(
+        spark.read.schema(SCHEMAS["rolling_metrics"]).parquet(metrics_path),
+        spark.read.schema(f"{SCHEMAS['predictions']}, model string").parquet(predictions_path),
+    )
 
 
 def run_models(labeled: DataFrame, embeddings: dict[str, DataFrame], **options) -> RollingResult:

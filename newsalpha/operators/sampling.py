@@ -1,11 +1,10 @@
 """Ordering, head and repeatable sampling."""
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsalpha.constants import SAMPLE_SEED
+from newsalpha.operators.ranking import positions
 
 
 def ordered_output(df: DataFrame, *keys: str) -> DataFrame:
@@ -25,19 +24,18 @@ def draw(keys: list[str], seed: int):
 def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = SAMPLE_SEED) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), the same ones on every run.
 
-    The rows with the smallest draws are taken. For a large table a threshold on the draw
-    first leaves little more than ``n`` rows, so the final top-n does not gather ``n``
-    rows from every task; if it should ever leave too few, the unfiltered rows are used.
+    The rows with the smallest draws are taken. The n-th smallest draw is found by ranking the draws alone;
+    rows below it are then filtered where they lie, so a sample stays spread over the cluster and whole rows
+    are not moved. Rows that share the n-th draw have equal keys; of these, as many as are missing are taken
+    in order of a hash of the row.
     """
     drawn = df.withColumn("draw", draw(keys, seed))
-    total = df.count()
-    share = (n + 10 * math.sqrt(n) + 100) / total if total else 1.0
-    if share < 0.5:
-        threshold = format(int(share * 16**12), "012x")
-        few = drawn.where(F.col("draw") < threshold)
-        if few.limit(n).count() == n:
-            drawn = few
-    return drawn.orderBy("draw", *keys).limit(n).drop("draw")
+    last = positions(drawn.select("draw"), [], ["draw"], "position", "total").where(F.col("position") == n).first()
+    if last is None:
+        return df if n else df.limit(0)
+    under = drawn.where(F.col("draw") < last["draw"])
+    at = drawn.where(F.col("draw") == last["draw"]).orderBy(F.xxhash64(*df.columns)).limit(n - under.count())
+    return under.unionByName(at).drop("draw")
 
 
 def cap_splits(df: DataFrame, caps: dict[str, int | None], keys: list[str], seed: int = SAMPLE_SEED) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.constants import SECTOR_FUNDS, SECTOR_NAMES
-from newsalpha.operators.joins import broadcast_if_small, valid_on
+from newsalpha.operators.joins import valid_on
 
 
 def code_lookup(code: Column, table: dict[str, str]) -> Column:
@@ -28,32 +28,37 @@ def usable_spells(spells: DataFrame) -> DataFrame:
     )
 
 
-def sector_on(issuer_days: DataFrame, spells: DataFrame, day: str) -> DataFrame:
-    """Add ``gsector`` to rows that are unique per (permno, day); rows without a spell go.
+def disjoint_spells(spells: DataFrame) -> DataFrame:
+    """Spells cut at each other's ends, so that an issuer has at most one on any day.
 
-    Where spells overlap the latest start wins, then the smallest code.
+    Where spells overlap the latest start wins, then the smallest code. An issuer has few spells, so the
+    cut is small work, and done once for all rows that ask for a sector.
     """
-    joined = issuer_days.join(broadcast_if_small(usable_spells(spells)), "permno").where(
-        valid_on(day, "effstartdt", "effenddt")
-    )
-    best = Window.partitionBy("permno", day).orderBy(F.desc("effstartdt"), "gsector")
+    usable = usable_spells(spells)
+    cuts = usable.select("permno", F.explode(F.array("effstartdt", F.date_add("effenddt", 1))).alias("first")).distinct()
+    following = F.lead("first").over(Window.partitionBy("permno").orderBy("first"))
+    pieces = cuts.withColumn("last", F.date_sub(following, 1)).where(F.col("last").isNotNull())
+    best = F.min(F.struct((-F.unix_date("effstartdt")).alias("age"), "gsector"))
     return (
-        joined.withColumn("choice", F.row_number().over(best))
-        .where(F.col("choice") == 1)
-        .drop("choice", "effstartdt", "effenddt")
+        pieces.join(usable, "permno")
+        .where(valid_on("first", "effstartdt", "effenddt"))
+        .groupBy("permno", "first", "last")
+        .agg(best.alias("best"))
+        .select("permno", "first", "last", "best.gsector")
     )
 
 
-def merge_sector(labeled: DataFrame, spells: DataFrame) -> DataFrame:
-    """Headlines with the sector valid on their date, and its name.
+def sector_on(rows: DataFrame, spells: DataFrame, day: str) -> DataFrame:
+    """Add ``gsector`` to rows of an issuer on a day; rows without a spell go.
 
-    The sector depends on issuer and date only, so it is looked up once per pair and
-    not once per headline. The headlines are read twice; where they are not stored yet,
-    ``plans.headlines`` takes the sector from the daily rows instead.
+    At most one disjoint spell holds a day, so the join neither multiplies rows nor needs a choice behind it.
     """
-    pairs = labeled.select("permno", "article_date").distinct()
-    sectors = sector_on(pairs, spells, "article_date")
-    return labeled.join(sectors, ["permno", "article_date"]).withColumn("sector_name", sector_name(F.col("gsector")))
+    return rows.drop("gsector").join(disjoint_spells(spells), "permno").where(valid_on(day, "first", "last")).drop("first", "last")
+
+
+def merge_sector(labeled: DataFrame, spells: DataFrame) -> DataFrame:
+    """Headlines with the sector valid on their date, and its name. The headlines are read once."""
+    return sector_on(labeled, spells, "article_date").withColumn("sector_name", sector_name(F.col("gsector")))
 
 
 def sector_on_daily(daily: DataFrame, spells: DataFrame) -> DataFrame:

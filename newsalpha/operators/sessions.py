@@ -4,10 +4,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsalpha.functions.dates import in_opening_window, utc_to_eastern
-from newsalpha.operators.joins import broadcast_if_small
-
-# One row per calendar day of a trading calendar: two centuries at most.
-MAX_CALENDAR_DAYS = 75_000
 
 
 def next_session_map(calendar: DataFrame, column: str = "trading_date") -> DataFrame:
@@ -30,7 +26,7 @@ def next_session_map(calendar: DataFrame, column: str = "trading_date") -> DataF
 
 def next_trading_day(df: DataFrame, calendar: DataFrame, day: str, into: str, column: str = "trading_date") -> DataFrame:
     """First session strictly after ``day``; a day with none keeps itself."""
-    sessions = broadcast_if_small(next_session_map(calendar, column), MAX_CALENDAR_DAYS)
+    sessions = next_session_map(calendar, column)
     first = calendar.select(F.min(column)).scalar()
     joined = df.join(sessions, F.col(day) == F.col("day"), "left")
     # A day before the calendar is not in the map either; its next session is the first one.

@@ -1,9 +1,9 @@
-"""Cosine similarity of a whole vector table against a bounded panel of vectors.
+"""Cosine similarity of a whole vector table against a panel of vectors.
 
-The panel (some sampled headlines, some query terms) is counted before it is fetched,
-and every task compares its own rows with it in one matrix product. Work grows with
-the table, not with its square, and no pairs of table rows are formed. A panel that
-equals the table gives the full matrix of a small set.
+The panel (some sampled headlines, some query terms) is fetched in blocks, and every task
+compares its own rows with a block in matrix products. Work grows with the table times the
+panel, and no pairs of table rows are formed. A panel that equals the table gives the full
+matrix of a small set.
 """
 
 from collections.abc import Iterator
@@ -12,19 +12,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from newsalpha.functions.vectors import combine
+from newsalpha.session import stage
 
-MAX_PANEL = 5_000
+# Vectors of the panel that are compared in one pass, and cosines that are in memory at once.
+PANEL_ROWS = 5_000
+CELLS = 4_000_000
 
 
-def fetch_panel(panel: DataFrame, key: str, vector: str, limit: int = MAX_PANEL) -> tuple[pa.Array, np.ndarray]:
-    """Ids and unit vectors of a panel; refuses one that is not small."""
-    rows = panel.select(key, F.col(vector).cast("array<double>").alias(vector)).limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        raise ValueError(f"a panel may have {limit} vectors; sample it or compare it in parts")
-    rows = rows.sort_by(key)
-    return rows[key].combine_chunks(), unit_rows(rows[vector].combine_chunks())
+def panel_blocks(panel: DataFrame, key: str, vector: str, rows: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and unit vectors of a panel in blocks, in order of the ids; the driver holds one block."""
+    held: list = []
+    present = panel.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
+    kind = to_arrow_type(panel.schema[key].dataType)
+
+    def block():
+        return pa.array([row[key] for row in held], kind), unit_rows(pa.array([row[vector] for row in held], pa.list_(pa.float64())))
+
+    for row in present.orderBy(key).toLocalIterator():
+        held.append(row)
+        if len(held) == rows:
+            yield block()
+            held = []
+    if held:
+        yield block()
 
 
 def unit_rows(vectors: pa.ListArray) -> np.ndarray:
@@ -36,32 +49,43 @@ def unit_rows(vectors: pa.ListArray) -> np.ndarray:
     return matrix / np.where(lengths == 0, 1.0, lengths)
 
 
-def compare(df: DataFrame, panel: DataFrame, key: str, vector: str, keep) -> DataFrame:
-    """(id, panel_id, cosine) rows that ``keep`` picks from each batch's similarity matrix.
+def compare(df: DataFrame, panel: DataFrame, key: str, vector: str, keep, block_rows: int = PANEL_ROWS) -> DataFrame:
+    """(id, panel_id, cosine) rows that ``keep`` picks from each similarity matrix.
 
-    ``keep`` gets the matrix (rows by panel) and the mask of different ids, and returns
-    the row and panel positions to emit.
+    ``keep`` gets a matrix (rows by panel) of at most ``CELLS`` cosines and the mask of different ids, and
+    returns the row and panel positions to emit. A panel of several blocks takes a pass over the table for
+    each; what all but the last pass find is written, so that no more than a block is held.
     """
-    ids, targets = fetch_panel(panel, key, vector)
-    if len(ids) == 0:
-        return df.sparkSession.createDataFrame([], f"{key} bigint, panel_id bigint, cosine double")
     id_type = df.schema[key].dataType.simpleString()
+    present = df.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
+    found: DataFrame | None = None
+    for ids, targets in panel_blocks(panel, key, vector, block_rows):
+        if found is not None:
+            found = stage(found, "cosines")
+        some = present.mapInArrow(_compared(ids, targets, key, vector, keep), f"{key} {id_type}, panel_id {id_type}, cosine double")
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return df.sparkSession.createDataFrame([], f"{key} {id_type}, panel_id {id_type}, cosine double")
+    return found
+
+
+def _compared(ids: pa.Array, targets: np.ndarray, key: str, vector: str, keep):
     names = ids.to_numpy(zero_copy_only=False)
+    step = max(1, CELLS // len(ids))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if part.num_rows == 0:
-                continue
-            cosine = np.clip(unit_rows(part.column(vector)) @ targets.T, -1.0, 1.0)
-            own = part.column(key).to_numpy(zero_copy_only=False)
-            rows, columns = keep(cosine, own[:, None] != names[None, :], own, names)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(key).take(pa.array(rows)), ids.take(pa.array(columns)), pa.array(cosine[rows, columns])],
-                names=[key, "panel_id", "cosine"],
-            )
+            for start in range(0, part.num_rows, step):
+                piece = part.slice(start, step)
+                cosine = np.clip(unit_rows(piece.column(vector)) @ targets.T, -1.0, 1.0)
+                own = piece.column(key).to_numpy(zero_copy_only=False)
+                rows, columns = keep(cosine, own[:, None] != names[None, :], own, names)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(key).take(pa.array(rows)), ids.take(pa.array(columns)), pa.array(cosine[rows, columns])],
+                    names=[key, "panel_id", "cosine"],
+                )
 
-    present = df.where(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias(vector))
-    return present.mapInArrow(batches, f"{key} {id_type}, panel_id {id_type}, cosine double")
+    return batches
 
 
 def pairwise_cosine(df: DataFrame, panel: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
@@ -100,19 +124,17 @@ def extreme_pairs(df: DataFrame, panel: DataFrame, key: str, vector: str = "embe
     """
 
     def extremes(cosine, different, own, names):
-        rows, columns = np.nonzero(different)
-        if len(rows) == 0:
-            return rows, columns
-        values = cosine[rows, columns]
-        # Close to an extreme is kept as well, so that ties are settled by id, not by rounding.
-        near = (values >= values.max() - 1e-12) | (values <= values.min() + 1e-12)
-        low, high = np.minimum(own[rows], names[columns]), np.maximum(own[rows], names[columns])
-        keep = np.flatnonzero(near)
-        first = {}
-        for i in keep[np.lexsort((high[keep], low[keep]))]:
-            first.setdefault(bool(values[i] >= values.max() - 1e-12), i)
-        picked = np.array(sorted(set(first.values())))
-        return rows[picked], columns[picked]
+        if not different.any():
+            return np.array([], dtype=int), np.array([], dtype=int)
+        picked = set()
+        for sign in (1, -1):
+            value = np.where(different, sign * cosine, -np.inf)
+            # Close to the extreme is a tie, so that rounding settles nothing; the first pair by ids is taken.
+            rows, columns = np.nonzero(value >= value.max() - 1e-12)
+            low, high = np.minimum(own[rows], names[columns]), np.maximum(own[rows], names[columns])
+            first = np.lexsort((high, low))[0]
+            picked.add((int(rows[first]), int(columns[first])))
+        return np.array(sorted(picked)).T
 
     pairs = compare(df, panel, key, vector, extremes).select(
         F.least(key, "panel_id").alias("id_a"), F.greatest(key, "panel_id").alias("id_b"), "cosine"

@@ -111,7 +111,7 @@ def profile_table(df: DataFrame, day: str, key: str) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, nulls, mean, deviation, minimum, quartiles and maximum per column."""
     spark = df.sparkSession
-    quartiles = [(c, *exact_quantiles(df, c, [0.25, 0.5, 0.75])) for c in columns]
+    quartiles = [(c, *points) for c, points in exact_quantiles(df, columns, [0.25, 0.5, 0.75]).items()]
     points = spark.createDataFrame(quartiles, "column_name string, q25 double, q50 double, q75 double")
     moments = df.agg(
         F.array(*(
@@ -137,7 +137,7 @@ def return_histogram(labeled: DataFrame, bins: int = 80) -> DataFrame:
     columns are staged, because bounds, ranges and counts each read them.
     """
     rows = stage(labeled.select("ret_window", "label").dropna(), "returns")
-    low, high = exact_quantiles(rows, "ret_window", [0.01, 0.99])
+    low, high = exact_quantiles(rows, ["ret_window"], [0.01, 0.99])["ret_window"]
     kept = rows.where(F.col("ret_window").between(low, high))
     ranges = kept.groupBy("label").agg(
         F.min("ret_window").alias("start"), F.max("ret_window").alias("stop"), F.count("*").alias("label_rows")

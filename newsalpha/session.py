@@ -78,16 +78,24 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="newsalpha-")
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a written folder when the application ends."""
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For tables that several jobs read: the lineage ends at files that outlive any
-    executor, and readers prune by the partition columns.
+    executor, and readers prune by the partition columns, whose rows are rebalanced so
+    that a task writes few of them. The files go when the application ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    writer = df.write.mode("errorifexists")
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

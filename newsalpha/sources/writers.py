@@ -26,7 +26,7 @@ def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_dataset(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    writer = df.write.mode("append")
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

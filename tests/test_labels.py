@@ -14,6 +14,7 @@ def days(issuer, returns):
 
 
 def test_window_of_two_issuers(frame):
+    # The returns and windows of the method's own example.
     daily = frame(days(1, [0.01] * 5) + days(2, [0.02, -0.01, 0.03, 0.0, -0.02]), DAILY)
     found = {(r.permno, r.date.day): r.ret_window for r in labels.compute_return_window(daily).collect()}
     assert {k for k in found if k[0] == 1} == {(1, 2), (1, 3), (1, 4)}
@@ -43,6 +44,7 @@ def test_forward_returns(frame):
 
 
 def test_label(frame):
+    # The returns and labels of the method's own example.
     df = frame([(0.05,), (-0.03,), (0.0,), (0.001,), (-0.001,), (None,)], "ret_window double")
     assert [r.label for r in labels.assign_binary_label(df).collect()] == [1, 0, 0, 1, 0, None]
 

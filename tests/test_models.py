@@ -108,6 +108,30 @@ def test_rolling_run_scores_each_test_story_once(spark):
     assert hits == pytest.approx(np.mean([m.accuracy for m in metrics.values()]))
 
 
+def test_duplicate_stories_count_once(spark):
+    labeled, vectors = yearly(spark, range(2000, 2005))
+    late = labeled.withColumns({"article_date": F.date_add("article_date", 1), "label": 1 - F.col("label")})
+    plain, doubled = (rolling.rolling_oos(rows, vectors, c_grid=(1.0,)) for rows in (labeled, labeled.unionByName(late)))
+    one, two = plain.metrics.first(), doubled.metrics.first()
+    assert (one.n_train, one.n_val, one.n_test) == (two.n_train, two.n_val, two.n_test) == (180, 60, 60)
+    assert one.accuracy == two.accuracy and doubled.predictions.count() == 60
+
+
+def test_windows_need_rows_with_a_vector(spark):
+    labeled, vectors = yearly(spark, range(2000, 2006))
+    validation = labeled.where("year(article_date) = 2003").select("rp_story_id")
+    result = rolling.rolling_oos(labeled, vectors.join(validation, "rp_story_id", "left_anti"), c_grid=(1.0,))
+    assert [(r.oos_year, r.n_train) for r in result.metrics.collect()] == [(2005, 120)]
+
+
+def test_resume_without_a_usable_window(spark, tmp_path):
+    labeled, vectors = yearly(spark, range(2000, 2003))
+    for _ in range(2):
+        result = rolling.rolling_resume(labeled, vectors, str(tmp_path / "none"), "m")
+        assert result.metrics.count() == 0 and result.predictions.count() == 0
+        assert "model" in result.predictions.columns
+
+
 def test_resume_adds_missing_years_and_keeps_stored_ones(spark, tmp_path):
     labeled, vectors = yearly(spark, range(2000, 2006))
     folder = str(tmp_path / "results")

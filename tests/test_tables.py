@@ -94,13 +94,17 @@ def test_monthly_market_of_missing_returns_is_null(frame):
     assert rows[1].market_volatility == pytest.approx(100 * logs.std(ddof=1))
 
 
-@pytest.mark.parametrize("in_memory", [10, 100, 10_000_000])
-def test_quantiles_are_exact_beyond_memory(spark, in_memory):
-    values = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.rand(1)).alias("x"), F.lit(1).alias("y"))
-    values = stage(values, "values")
+def test_quantiles_of_several_columns_are_exact(spark):
+    values = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.rand(1)).alias("x"), F.when(F.col("id") < 7, F.col("id")).alias("few"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    values = stage(values, "values").repartition(6)
     x = np.array([r.x for r in values.collect()])
     points = [0.0, 0.01, 0.25, 0.5, 0.77, 0.99, 1.0]
-    assert np.allclose(quantiles.exact_quantiles(values, "x", points, in_memory), np.quantile(x, points), rtol=1e-12)
+    found = quantiles.exact_quantiles(values, ["x", "few", "none"], points)
+    assert np.allclose(found["x"], np.quantile(x, points), rtol=1e-12)
+    assert np.allclose(found["few"], np.quantile(np.arange(7), points)) and found["none"] == [None] * len(points)
 
 
 def test_sample_is_exact_and_repeatable(spark):
@@ -138,6 +142,13 @@ def test_histogram_density_integrates_to_one(frame):
     assert bins["bin"].max() == 79 and bins["n"].sum() == 1960
 
 
+def test_staged_tables_have_few_files_and_go_with_the_session(spark):
+    rows = stage(spark.range(1000).select("id", (F.col("id") % 4).alias("year")).repartition(16), "many", ("year",))
+    assert len(rows.inputFiles()) <= 8
+    path = spark._jvm.org.apache.hadoop.fs.Path(rows.inputFiles()[0]).getParent().getParent()
+    assert path.getFileSystem(spark._jsc.hadoopConfiguration()).cancelDeleteOnExit(path)
+
+
 def test_model_comparison_keeps_shared_stories(frame):
     a = frame([(1, [1.0]), (2, [2.0])], "rp_story_id int, embedding array<float>")
     b = frame([(2, [3.0]), (4, [4.0])], "rp_story_id int, embedding array<float>")
@@ -181,8 +192,7 @@ class StubSession:
         self.sparkContext = type("Context", (), {"master": master})
 
 
-@pytest.mark.parametrize("slices", [3, 20])
-def test_sliced_ntile_equals_the_window(spark, slices):
+def test_exact_ntile_equals_the_window(spark):
     """Groups of odd sizes; in the largest a third of the rows have one score."""
     rows = stage(spark.range(4000).select(
         F.col("id").alias("permno"),
@@ -191,10 +201,8 @@ def test_sliced_ntile_equals_the_window(spark, slices):
     ), "scores").repartition(5)
     by_score = Window.partitionBy("date").orderBy("score", "permno")
     expected = {r.permno: r.b for r in rows.withColumn("b", F.ntile(5).over(by_score)).collect()}
-    found = ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b", slices, window_rows=1000)
-    assert found.columns == ["date", "permno", "score", "b"] and found.count() == 4000
-    assert "ntile(5)" not in found._jdf.queryExecution().executedPlan().toString()
-    assert "ntile(5)" in ranking.sliced_ntile(rows, "date", "score", "permno", 5, "b")._jdf.queryExecution().toString()
+    found = ranking.exact_ntile(rows, "date", "score", "permno", 5, "b")
+    assert found.columns == ["permno", "date", "score", "b"] and found.count() == 4000
     assert {r.permno: r.b for r in found.collect()} == expected
 
 

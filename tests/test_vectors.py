@@ -97,10 +97,24 @@ def test_string_ids(frame):
     assert [r.w for r in rows] == ["queen"]
 
 
-def test_a_panel_must_be_small(spark):
-    df = table(spark, np.ones((10, 2)))
-    with pytest.raises(ValueError):
-        similarity.fetch_panel(df, "id", "embedding", limit=9)
+def test_a_large_panel_is_compared_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    df = table(spark, rng.normal(size=(40, 3)))
+    whole = {tuple(r) for r in similarity.pairwise_cosine(df, df, "id").collect()}
+    monkeypatch.setattr(similarity, "CELLS", 21)
+    blocks = similarity.compare(df, df, "id", "embedding", lambda c, d, o, n: tuple(i.ravel() for i in np.indices(c.shape)), 7)
+    assert {(r.id, r.panel_id, round(r.cosine, 3)) for r in blocks.collect()} == {(a, b, round(c, 3)) for a, b, c in whole} and len(whole) == 1600
+
+
+def test_extremes_take_the_first_of_tied_pairs(spark):
+    df = table(spark, np.array([[1.0, 0], [2, 0], [3, 0], [0, 1], [0, 2]]))
+    rows = {r.which: (r.id_a, r.id_b) for r in similarity.extreme_pairs(df, df, "id").collect()}
+    assert rows == {"most": (0, 1), "least": (0, 3)}
+
+
+def test_an_empty_panel_keeps_the_type_of_the_id(frame):
+    df = frame([("a", [1.0])], "id string, embedding array<double>")
+    assert dict(similarity.pairwise_cosine(df, df.limit(0), "id").dtypes)["panel_id"] == "string"
 
 
 # Python workers cannot import this file.
@@ -164,19 +178,18 @@ def test_tfidf_svd_matches_numpy(frame):
     rng = np.random.default_rng(4)
     texts = [" ".join(f"word{k}" for k in rng.integers(0, 30, size=20)) for _ in range(40)]
     df = frame(list(enumerate(texts)), "id int, text string").repartition(3)
-    columns, k = 1 << 12, 5
-    model = decomposition.fit_tfidf_svd(df, "text", k, columns)
-    counts = np.zeros((40, columns))
-    for r in decomposition.term_counts(df, "text", columns, "id").collect():
-        counts[r.id, r.counts.indices] = r.counts.values
-    assert counts.sum() == 40 * 20
+    model = decomposition.fit_tfidf_svd(df, "text", 5)
+    words = model.weights.vocabulary
+    counts = np.array([[text.split().count(w) for w in words] for text in texts])
     weights = counts * (np.log((1 + 40) / (1 + (counts > 0).sum(0))) + 1)
     weights /= np.linalg.norm(weights, axis=1, keepdims=True)
-    exact = np.linalg.svd(weights, compute_uv=False)[:k]
-    assert np.allclose(model.singular_values, exact, rtol=0.02)
+    entries = {(r.id, r.word): r.weight for r in model.weights.entries(df, "id", "text").collect()}
+    assert entries == {(i, words[j]): pytest.approx(weights[i, j]) for i, j in zip(*np.nonzero(weights))}
+    assert np.allclose(model.singular_values, np.linalg.svd(weights, compute_uv=False)[:5])
+    # A'A v = s^2 v for every direction v.
+    assert np.allclose(weights.T @ weights @ model.basis, model.basis * model.singular_values**2, atol=1e-8)
     found = np.array([r.embedding for r in model.transform(df, "id", "text").orderBy("id").collect()])
     assert np.allclose(found, weights @ model.basis, atol=1e-9)
-    assert np.allclose(model.basis.T @ model.basis, np.eye(k), atol=1e-9)
 
 
 def test_fit_on_training_texts_only(frame):
