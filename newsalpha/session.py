@@ -81,7 +81,8 @@ def _local_folder() -> str:
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Remove a written folder when the application ends."""
     written = spark._jvm.org.apache.hadoop.fs.Path(path)
-    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
+    files = written.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(files.makeQualified(written))
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
