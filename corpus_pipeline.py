@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from newsalpha.llm import benchmark, bpe, common, language, lines, minhash  # noqa: E402
-from newsalpha.session import shared_folder  # noqa: E402
+from newsalpha.session import remove_at_exit, shared_folder  # noqa: E402
 
 # Below this a language is less certain than two even guesses, one for the family and one within it.
 LEAST_SCORE = 0.25
@@ -78,5 +78,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         path = os.path.join(shared_folder(spark), f"pipeline-{name}-{uuid.uuid4().hex}")
         stage(spark, docs, sf_dir).write.parquet(path)
+        remove_at_exit(spark, path)
         docs = spark.read.parquet(path)
     return docs
