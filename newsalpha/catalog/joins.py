@@ -297,15 +297,20 @@ def sector_panel(t):
 
 
 @query("""
-SELECT l.rp_story_id, l.article_date, l.label, CAST(len(e.embedding) AS INT) AS dims, round(e.embedding[1]::DOUBLE, 6) AS first_entry
+SELECT l.rp_story_id, l.article_date, l.label, CAST(len(e.embedding) AS INT) AS dims, round(list_sum(e.embedding::DOUBLE[]), 4) AS total,
+  round(list_sum(list_transform(e.embedding::DOUBLE[], lambda x: abs(x))), 4) AS size
 FROM fx_labeled l JOIN {embeddings} e ON e.vec_id = l.vec_id""")
 def join_embeddings(t):
     rows = t("fx_labeled").withColumnRenamed("rp_story_id", "story").withColumnRenamed("vec_id", "rp_story_id")
     vectors = t("embeddings").select(F.col("vec_id").alias("rp_story_id"), "embedding")
     joined = rolling.join_embeddings(rows, vectors)
+
+    def total(entry):
+        return F.round(F.aggregate(F.transform(F.col("embedding").cast("array<double>"), entry), F.lit(0.0), lambda a, x: a + x), 4)
+
     return joined.select(
         F.col("story").alias("rp_story_id"), "article_date", "label", F.size("embedding").alias("dims"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("first_entry"),
+        total(lambda x: x).alias("total"), total(F.abs).alias("size"),
     )
 
 

@@ -1,7 +1,5 @@
 """Queries over vectors, models and portfolios."""
 
-import uuid
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,7 +8,7 @@ from newsalpha.catalog.joins import built_panel, daily, sectored
 from newsalpha.catalog.summaries import PREDICTED, predicted
 from newsalpha.operators import decomposition, embedding, evaluation, labels, logistic, panel, portfolio, rolling, sectors, similarity
 from newsalpha.operators.sampling import sample_n
-from newsalpha.session import shared_folder
+from newsalpha.session import new_folder
 
 PANEL_SIZE = 30
 
@@ -397,7 +395,7 @@ def coverage(result, *keys):
 SELECT oos_year, n_train, n_val, n_test, n_test AS n_predictions FROM counts WHERE n_train >= 100 AND n_val >= 10 AND n_test >= 10""")
 def rolling_resume(t):
     """A run that stops before the last year, then one that only adds what is missing."""
-    folder = f"{shared_folder(t.spark)}/rolling-{uuid.uuid4().hex}"
+    folder = new_folder(t.spark, "rolling")
     labeled, vectors = t("fx_labeled"), story_vectors(t)
     last = labeled.agg(F.max("article_date")).first()[0]
     rolling.rolling_resume(labeled.where(F.col("article_date") < f"{last.year}-01-01"), vectors, folder)

@@ -1,7 +1,5 @@
 """Queries over sources and sinks."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from newsalpha.catalog.base import CLEAN, LABELED, Tables, query, rounded
@@ -11,13 +9,13 @@ from newsalpha.operators.funnel import clean_headlines, funnel_stage_counts
 from newsalpha.operators.labels import build_labeled_dataset
 from newsalpha.plans.headlines import daily_stock
 from newsalpha.schemas import SCHEMAS, conform
-from newsalpha.session import shared_folder
-from newsalpha.sources.readers import normalize_daily, scan_chunks, scan_columns, union_years
+from newsalpha.session import new_folder
+from newsalpha.sources.readers import normalize_daily, scan_chunks, scan_columns, scan_years, union_years
 from newsalpha.sources.writers import append_dataset, read_report, write_csv, write_dataset, write_report
 
 
 def new_path(t: Tables, name: str) -> str:
-    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+    return new_folder(t.spark, name)
 
 
 @query("SELECT doc_id, lang, n_chars FROM {documents} WHERE text IS NOT NULL", name="scan_columns")
@@ -44,12 +42,22 @@ def scan_chunks_query(t):
 SELECT o_orderkey AS rp_story_id, CAST(o_orderdate AS DATE) AS article_date, CAST(year(o_orderdate) AS INT) AS year
 FROM {orders}""")
 def scan_yearly_union(t):
+    """Written once with a folder per year, then read: one scan, whatever the number of years."""
     orders = t("orders").select(
         F.col("o_orderkey").alias("rp_story_id"), F.col("o_orderdate").cast("date").alias("article_date")
     )
-    first, last = orders.agg(F.min(F.year("article_date")), F.max(F.year("article_date"))).first()
-    years = range(first, last + 1)
-    return union_years({y: orders.where(F.col("article_date").between(f"{y}-01-01", f"{y}-12-31")) for y in years})
+    path = new_path(t, "years")
+    write_dataset(orders.withColumn("year", F.year("article_date")), path, partition_by=("year",))
+    return scan_years(t.spark, path, 1900, 2100)
+
+
+@query("""
+SELECT o_orderkey AS rp_story_id, CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS priority FROM {orders}
+WHERE year(o_orderdate) BETWEEN 1994 AND 1995""")
+def union_years_by_table(t):
+    """One table per year, of which the later ones have a column more."""
+    orders = t("orders").select(F.col("o_orderkey").alias("rp_story_id"), F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("priority"))
+    return union_years({year: orders.where(F.col("y") == year).drop("y") for year in (1995, 1994)})
 
 
 @query("""

@@ -85,6 +85,15 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(files.makeQualified(written))
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An empty folder in the shared one that goes when the application ends, to append to."""
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(made)
+    remove_at_exit(spark, path)
+    return path
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

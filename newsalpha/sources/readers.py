@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsalpha.schemas import require_unique
@@ -34,10 +34,11 @@ def scan_chunks(spark: SparkSession, folder: str, key: str = "rp_story_id", patt
     """All chunk files of a folder as one table with one row per id.
 
     Files that hold one column per dimension are read too; their ``dim_0 … dim_n``
-    columns become one vector column.
+    columns become one vector column. Of several vectors of an id the smallest is taken.
     """
-    df = spark.read.option("pathGlobFilter", pattern).parquet(folder)
-    return gather_dimensions(df).dropDuplicates([key])
+    df = gather_dimensions(spark.read.option("pathGlobFilter", pattern).parquet(folder))
+    first = Window.partitionBy(key).orderBy(*(c for c in df.columns if c != key))
+    return df.withColumn("choice", F.row_number().over(first)).where(F.col("choice") == 1).drop("choice")
 
 
 def gather_dimensions(df: DataFrame, prefix: str = "dim_", vector: str = "embedding") -> DataFrame:
@@ -55,6 +56,11 @@ def spread_dimensions(df: DataFrame, size: int, prefix: str = "dim_", vector: st
     return df.select(*others, *(F.col(vector)[i].alias(f"{prefix}{i}") for i in range(size)))
 
 
+def scan_years(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
+    """The years ``first`` to ``last`` of a table that has a folder per year; no other folder is opened."""
+    return spark.read.parquet(folder).where(F.col("year").between(first, last))
+
+
 def union_years(frames: dict[int, DataFrame]) -> DataFrame:
     """One table per year appended to one, with the year as a column."""
     dated = [df.withColumn("year", F.lit(year)) for year, df in sorted(frames.items())]
