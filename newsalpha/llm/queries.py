@@ -33,6 +33,47 @@ SELECT d.doc_id, coalesce(len(every), 0) AS n_lines, coalesce(len(every), 0) - c
   sha256(coalesce(m.text, '')) AS text_sha256
 FROM docs d LEFT JOIN made m USING (doc_id)"""
 
+# Sizes and checksums; running totals in order of the id. The checksum's table follows from its polynomial.
+SHARDS = """
+WITH steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+spelled AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (
+  SELECT doc_id, len(h) // 2 + 16 AS size, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(h), 2), lambda i: CAST('0x' || h[i + 1:i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+  FROM spelled, steps),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS bytes_before, row_number() OVER (ORDER BY doc_id) AS r, sum(size) OVER () AS total FROM summed),
+cut AS (SELECT *, CAST((2 * bytes_before + size) * 40 // (2 * total) AS INT) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, r - min(r) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INT) AS grown_shard,
+  CAST(bytes_before AS BIGINT) AS bytes_before FROM cut"""
+
+# Every pair of vectors.
+VECTORS = """
+WITH RECURSIVE sound AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, (SELECT min(y) FROM reached WHERE x = vec_id) AS component_id,
+  vec_id = (SELECT min(y) FROM reached WHERE x = vec_id) AS kept FROM embeddings"""
+
+# Every pair of documents that shares a shingle of four words, counted in full.
+NEAR = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(str_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM split),
+each_one AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n, b.n AS m, count(*) AS o FROM each_one a JOIN each_one b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY ALL) c WHERE 100 * o >= 80 * (n + m - o)),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+least_one AS (SELECT x, min(y) AS c FROM reached GROUP BY x)
+SELECT doc_id, len(s) AS n_shingles, c AS component_id, doc_id = c AS kept FROM sets JOIN least_one ON x = doc_id"""
+
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
@@ -44,12 +85,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_sharding")
+@query("op1_sharding", sql=SHARDS)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.byte_shards(common.table(spark, folder, "documents"), shards=40)
 
 
-@query("op2_grid_order_join")
+@query("op2_grid_order_join", sql=VECTORS)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return grid_join.near_vectors(common.table(spark, folder, "embeddings"), least=0.95)
 
@@ -104,6 +145,6 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return wrappers.main_text(common.table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-@query("op10_minhash_forest")
+@query("op10_minhash_forest", sql=NEAR)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(common.table(spark, folder, "documents"), words=4, percent=80)
