@@ -28,8 +28,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back; lineage ends there."""
-    return stage(df, name)
+    """Write once to the shared folder and read back; lineage ends there.
+
+    The shuffle files behind it are of no more use. Spark drops them when the driver collects its garbage,
+    which an idle driver seldom does, so it is asked to.
+    """
+    written = stage(df, name)
+    df.sparkSession._jvm.System.gc()
+    return written
 
 
 def rows_mapped(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from newsalpha.llm.common import staged
 
 # Counters of the rarity of tokens, a power of two, and the bits of a token's number below its rarity.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 18
 TOKEN_BITS = 57
 # Sets of more tokens than this have a second bitmap.
 WIDE = 64
@@ -22,20 +22,19 @@ LINE = ("doc", "version", "line")
 
 def _tokens(line: Column) -> Column:
     """Distinct numbers of the words of a line, letters lowered."""
-    words = F.filter(F.split(F.lower(line), SPACES), lambda word: word != "")
+    words = F.array_remove(F.split(F.lower(line), SPACES), "")
     return F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
 
 
 def _rarity(rows: DataFrame) -> bytes:
-    """Number of lines that the tokens of each counter stand in, over all lines, as twice its binary logarithm.
+    """How often the tokens of each counter stand in all texts, as twice the binary logarithm.
 
     One byte per counter, whatever the table: the cluster packs them by thousands, the driver joins the packs.
     """
     counters = rows.sparkSession.range(COUNTERS).select(F.col("id").alias("counter"), F.lit(0).cast("long").alias("n"))
     counted = (
-        rows.select(F.explode(F.split("text", "\n")).alias("string"))
-        .select(F.explode(_tokens(F.col("string"))).alias("token"))
-        .groupBy(F.col("token").bitwiseAND(COUNTERS - 1).alias("counter")).agg(F.count("*").alias("n"))
+        rows.select(F.explode(F.split(F.lower("text"), SPACES)).alias("word"))
+        .groupBy(F.xxhash64("word").bitwiseAND(COUNTERS - 1).alias("counter")).agg(F.count("*").alias("n"))
         .unionByName(counters).groupBy("counter").agg(F.sum("n").alias("n"))
         .select((F.col("counter") / 4096).cast("int").alias("pack"), F.struct("counter", F.expr("cast(least(63, 2 * log2(n + 1)) as int)").alias("level")).alias("c"))
     )
@@ -62,9 +61,10 @@ def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
 
     The tokens with an odd or even seventh bit have a bitmap each if the set is large; otherwise both share one.
     """
-    sets = rows.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "string")).select(
+    lines = rows.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "string"))
+    sets = lines.where(F.col("string").rlike(r"\S")).select(
         F.struct(*LINE).alias("first"), _ordered(_tokens(F.col("string")), rarity).alias("tokens")
-    ).where("size(tokens) > 0")
+    )
     least = f"cast(ceil({percent} * size(tokens) / 100) as int)"
     return (
         sets.select(
