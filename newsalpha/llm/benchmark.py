@@ -52,7 +52,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], percent: int):
         self.percent = percent
-        kept = sorted(((i, t, words_of(t)) for i, t in items if words_of(t)), key=lambda x: (len(x[2]), x[0], x[1]))
+        kept = sorted(((i, t, words_of(t)) for i, t in items if words_of(t)), key=lambda x: (len(x[2]), x[0] is not None, x[0] or 0, x[1]))
         self.ids = [i for i, _, _ in kept]
         self.parts = [tuple(_shingles(p) for p in parts(t)) for _, t, _ in kept]
         self.whole = [_shingles(w) for _, _, w in kept]
@@ -230,11 +230,14 @@ def contamination(
     wanted = items.select(F.col(item_column).cast("long").alias("id"), F.col(item_text_column).alias("text")).where("text is not null")
     found = docs.drop("leaks")
     held: list[tuple[int, str]] = []
+    chars = 0
     for row in wanted.orderBy(F.col("id").asc_nulls_first(), "text").toLocalIterator():
-        if held and sum(len(text) for _, text in held) + len(row["text"]) > PASS_CHARS:
+        if held and chars + len(row["text"]) > PASS_CHARS:
             # The driver holds the items of one pass only.
             found, held = staged(_pass(found, tuple(held), percent, text_column), "passes"), []
+            chars = 0
         held.append((row["id"], row["text"]))
+        chars += len(row["text"])
     return _pass(found, tuple(held), percent, text_column)
 
 

@@ -54,7 +54,7 @@ def test_equals_a_comparison_of_every_text_with_every_item(frame, monkeypatch):
 
 
 def test_odd_rows(odd, empty, frame):
-    items = frame([(1, "one text that stands here. More than once!"), (None, "of some words"), (2, None), (3, ""), (3, "?!"), (4, "end")], "item_id long, text string")
+    items = frame([(1, "one text that stands here. More than once!"), (None, "of some words"), (2, None), (3, ""), (3, "?!"), (4, "end"), (None, "unseen"), (None, "unseen")], "item_id long, text string")
     rows = contamination(odd, items).collect()
     assert len(rows) == len(ROWS)
     found = {r.doc_id: [leak.item_id for leak in r.leaks] for r in rows}
