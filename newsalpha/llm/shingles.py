@@ -39,19 +39,32 @@ def word_hashes(text: str) -> np.ndarray:
         _tables.append(_powers())
     up, down = _tables[0]
     raw, at, found = text.encode().translate(LOWER), 0, []
+    # Sum and length of a word that goes on in the next part.
+    begun, length = np.zeros(1, dtype=np.uint64), 0
     while at < len(raw):
         end = min(len(raw), at + PART)
-        if end < len(raw):  # cut at white space; a longer word is hashed in pieces
+        if end < len(raw):  # cut behind the last white space; a part without any is the inside of a word
             cut = max(raw.rfind(space, at, end) for space in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-            end = cut + 1 if cut > at else end
+            end = cut + 1 if cut >= at else end
         part = np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at)
         inside = np.concatenate([[False], ~SPACES[part], [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
-        found.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        words, lengths = (sums[ends] - sums[starts]) * down[starts], (ends - starts).astype(np.uint64)
+        if length:
+            if len(starts) and starts[0] == 0:
+                words[:1] = begun + words[:1] * np.uint64(pow(int(BASE), length, 1 << 64))
+                lengths[0] += np.uint64(length)
+            else:
+                words, lengths = np.concatenate([begun, words]), np.concatenate([[np.uint64(length)], lengths])
         at = end
+        if at < len(raw) and not SPACES[raw[at - 1]]:
+            begun, length = words, int(lengths[0])
+            continue
+        length = 0
+        found.append(mix(words + lengths))
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+from newsalpha.llm import shingles
 from newsalpha.llm.minhash import near_duplicates
 
 from .conftest import ROWS
@@ -31,6 +32,16 @@ def groups(ids, found, percent):
     return [ids[k] for k in label], len(pairs)
 
 
+def test_words_do_not_depend_on_the_parts_a_text_is_read_in(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abÄ \n\x0bZé" + "x" * 20) for _ in range(rng.randint(0, 400))) for _ in range(300)]
+    whole = [shingles.word_hashes(text).tolist() for text in texts]
+    assert [len(w) for w in whole] == [len(re.findall(r"[^\x20\x09-\x0D]+", text)) for text in texts]
+    monkeypatch.setattr(shingles, "PART", 16)
+    monkeypatch.setattr(shingles, "_tables", [])
+    assert [shingles.word_hashes(text).tolist() for text in texts] == whole
+
+
 def test_groups_of_all_pairs(frame):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(400)]
