@@ -59,6 +59,7 @@ def _ordered(tokens: Column, rarity: bytes) -> Column:
 def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
     """One row per distinct set: its first line, size, prefix tokens and bitmaps of the parity of its tokens.
 
+    Ids follow the order of the first lines, so of two classes the one with the larger id is the later one.
     The tokens with an odd or even seventh bit have a bitmap each if the set is large; otherwise both share one.
     """
     lines = rows.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "string"))
@@ -77,6 +78,7 @@ def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
         )
         .groupBy("h", "g", "size")
         .agg(F.min("first").alias("first"), *(F.first(c).alias(c) for c in ("prefix", "bitmap", "odd")))
+        .repartitionByRange("first").sortWithinPartitions("first")
         .withColumn("id", F.monotonically_increasing_id())
     )
 
@@ -102,26 +104,42 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _later(classes: DataFrame, rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
-    """First lines of classes that match a class with an earlier first line."""
+    """First lines of classes that match a class with an earlier first line.
+
+    A class needs one earlier match only. Its earliest candidate is verified first, which settles nearly all
+    members of a large group of variants; all other candidates are verified for the classes that are left.
+    """
     pairs = staged(_candidates(classes, percent), "candidates")
+    sets = staged(_sets_of(pairs, classes, rows, rarity), "sets")
+    earliest = pairs.groupBy("b_id").agg(F.min("a_id").alias("a_id"))
+    found = staged(_verified(earliest, sets, percent), "later")
+    rest = pairs.join(earliest.hint("merge"), ["a_id", "b_id"], "left_anti").join(found.select("b_id").hint("merge"), "b_id", "left_anti")
+    later = found.unionByName(_verified(rest, sets, percent)).select("b_first.*")
+    return later.distinct()
+
+
+def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, rarity: bytes) -> DataFrame:
+    """(id, first, tokens) of the classes that occur in pairs, from the texts."""
     named = pairs.select(F.explode(F.array("a_id", "b_id")).alias("id")).distinct()
     wanted = (
         classes.join(named, "id").select("first.*", "id")
         .groupBy("doc", "version").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
     )
     strings = F.expr("transform(array(split(text, '\n')), every -> transform(lines, l -> struct(l.id, l.line, every[l.line] as string)))[0]")
-    sets = staged(
-        _match(rows, wanted, ("doc", "version")).select("doc", "version", F.explode(strings).alias("l"))
-        .select("l.id", F.struct("doc", "version", "l.line").alias("first"), _ordered(_tokens(F.col("l.string")), rarity).alias("tokens"))
-        .dropDuplicates(["id"]),
-        "verified",
-    )
+    lines = _match(rows, wanted, ("doc", "version")).select("doc", "version", F.explode(strings).alias("l"))
+    return lines.select(
+        "l.id", F.struct("doc", "version", "l.line").alias("first"), _ordered(_tokens(F.col("l.string")), rarity).alias("tokens")
+    ).dropDuplicates(["id"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(b_id, b_first) of the pairs whose whole sets are alike enough."""
     a, b = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in sets.columns)) for side in "ab")
     shared = "size(array_intersect(a_tokens, b_tokens))"
     return (
         pairs.join(a, "a_id").join(b, "b_id")
         .where(f"{100 + percent} * {shared} >= {percent} * (size(a_tokens) + size(b_tokens))")
-        .select(F.greatest("a_first", "b_first").alias("l")).select("l.*").distinct()
+        .select("b_id", "b_first").distinct()
     )
 
 
