@@ -83,39 +83,64 @@ def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
     )
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a prefix token and that no bound on their overlap rules out."""
-    postings = classes.select("id", "size", "bitmap", "odd", F.posexplode("prefix").alias("place", "token"))
-    a, b = (postings.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "odd", "place"))) for side in "ab")
+def _bounds(percent: int) -> str:
+    """Whether length and bitmaps of sets a and b leave room for enough common tokens."""
     whole = "(a_size + b_size)"
-    # Overlap o is enough when (100 + percent) * o >= percent * whole.
-    enough = f"{100 + percent} * ({{}}) >= {percent} * {whole}"
     # Tokens that only one of the sets has, at least: bits that differ, in both bitmaps where both sets are large.
     both, odd = "(a_bitmap ^ b_bitmap)", "(a_odd ^ b_odd)"
     differ = f"coalesce(bit_count({odd}) + bit_count({both} ^ {odd}), bit_count({both}))"
     return (
-        a.join(b, "token")
-        .where("a_id < b_id")
-        .where(f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)")
-        .where(enough.format("least(a_size - a_place, b_size - b_place)"))
-        .where(f"{100 + percent} * ({whole} - {differ}) >= {2 * percent} * {whole}")
-        .select("a_id", "b_id").distinct()
+        f"100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)"
+        f" and {100 + percent} * ({whole} - {differ}) >= {2 * percent} * {whole}"
+    )
+
+
+def _first_candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Each class with the earliest class that has the same least, or the same largest, prefix token.
+
+    At most two pairs a class. Variants of a line nearly always share one of the two tokens.
+    """
+    keyed = classes.select(
+        "id", "size", "bitmap", "odd",
+        F.explode(F.expr("array(struct(0 as side, array_min(prefix) as token), struct(1 as side, array_max(prefix) as token))")).alias("k"),
+    ).select("id", "size", "bitmap", "odd", "k.*")
+    leaders = keyed.groupBy("side", "token").agg(F.min("id").alias("a_id"), F.count("*").alias("members")).where("members > 1")
+    known = classes.select(F.col("id").alias("a_id"), *(F.col(c).alias(f"a_{c}") for c in ("size", "bitmap", "odd")))
+    led = leaders.drop("members").join(known, "a_id")
+    members = keyed.select("side", "token", *(F.col(c).alias(f"b_{c}") for c in ("id", "size", "bitmap", "odd")))
+    return members.join(led, ["side", "token"]).where(f"a_id < b_id and {_bounds(percent)}").select("a_id", "b_id").distinct()
+
+
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that share a prefix token and that no bound on their overlap rules out.
+
+    The later class of a pair is not ``settled`` yet. That test is part of a comparison of both sides, so that both
+    read the same shuffled postings.
+    """
+    postings = classes.select("id", "size", "bitmap", "odd", "settled", F.posexplode("prefix").alias("place", "token"))
+    columns = ("id", "size", "bitmap", "odd", "settled", "place")
+    a, b = (postings.select("token", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "ab")
+    # Overlap o is enough when (100 + percent) * o >= percent * (sum of the sizes).
+    enough = f"{100 + percent} * least(a_size - a_place, b_size - b_place) >= {percent} * (a_size + b_size)"
+    return (
+        a.join(b, "token").where(f"a_id < if(b_settled, -1, b_id) and {enough} and {_bounds(percent)}").select("a_id", "b_id").distinct()
     )
 
 
 def _later(classes: DataFrame, rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
     """First lines of classes that match a class with an earlier first line.
 
-    A class needs one earlier match only. Its earliest candidate is verified first, which settles nearly all
-    members of a large group of variants; all other candidates are verified for the classes that are left.
+    A class needs one earlier match only. A likely one is verified first, which settles nearly all members of a
+    large group of variants; only for the classes that are left are all candidates found and verified, so that
+    the pairs of a group are not spelled out.
     """
-    pairs = staged(_candidates(classes, percent), "candidates")
-    sets = staged(_sets_of(pairs, classes, rows, rarity), "sets")
-    earliest = pairs.groupBy("b_id").agg(F.min("a_id").alias("a_id"))
-    found = staged(_verified(earliest, sets, percent), "later")
-    rest = pairs.join(earliest.hint("merge"), ["a_id", "b_id"], "left_anti").join(found.select("b_id").hint("merge"), "b_id", "left_anti")
-    later = found.unionByName(_verified(rest, sets, percent)).select("b_first.*")
-    return later.distinct()
+    likely = staged(_first_candidates(classes, percent), "likely")
+    settled = staged(_verified(likely, staged(_sets_of(likely, classes, rows, rarity), "sets"), percent), "settled")
+    flags = settled.select(F.col("b_id").alias("id"), F.lit(True).alias("flag")).hint("merge")
+    flagged = classes.join(flags, "id", "left").withColumn("settled", F.coalesce("flag", F.lit(False)))
+    pairs = staged(_candidates(flagged, percent), "candidates")
+    rest = _verified(pairs, staged(_sets_of(pairs, classes, rows, rarity), "sets"), percent)
+    return settled.unionByName(rest).select("b_first.*").distinct()
 
 
 def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, rarity: bytes) -> DataFrame:
