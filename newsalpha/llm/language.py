@@ -1,7 +1,9 @@
 """Language of texts: the family first, then one-versus-one linear support vector machines within it."""
 
 import re
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -131,8 +133,13 @@ def fit(
     count = rows.select("language").distinct().count()
     if not count:
         return None
-    drawn = Window.partitionBy("language").orderBy(F.xxhash64("id", "text"), "id")
-    chosen = rows.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= max(1, sample // count)).drop("n", "id")
+    each = max(1, sample // count)
+    drawn = Window.partitionBy("language").orderBy("draw")
+    rows = rows.withColumn("draw", F.xxhash64("id", "text"))
+    # The draws alone are ranked first, so that texts move only if they are in the sample.
+    last = rows.select("language", "draw", F.row_number().over(drawn).alias("n")).where(F.col("n") <= each).groupBy("language").agg(F.max("draw").alias("last"))
+    few = reduce(or_, ((F.col("language") == r["language"]) & (F.col("draw") <= r["last"]) for r in last.collect()))
+    chosen = rows.where(few).withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= each).drop("n", "id", "draw")
 
     def profiles(columns: dict[str, list]) -> dict[str, list]:
         some = [i for i, text in enumerate(columns["text"]) if has_letter(text)]
