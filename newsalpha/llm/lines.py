@@ -114,17 +114,19 @@ def _first_candidates(classes: DataFrame, percent: int) -> DataFrame:
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a prefix token and that no bound on their overlap rules out.
 
-    The later class of a pair is not ``settled`` yet. That test is part of a comparison of both sides, so that both
-    read the same shuffled postings.
+    The later class of a pair is not settled yet. A settled class posts its size as a negative number, and the
+    test is part of a comparison of both sides: so both read the same shuffled postings.
     """
-    postings = classes.select("id", "size", "bitmap", "odd", "settled", F.posexplode("prefix").alias("place", "token"))
-    columns = ("id", "size", "bitmap", "odd", "settled", "place")
+    postings = classes.select(
+        "id", F.expr("if(settled, -size, size) as signed"), "bitmap", "odd", F.posexplode("prefix").alias("place", "token")
+    )
+    columns = ("id", "signed", "bitmap", "odd", "place")
     a, b = (postings.select("token", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "ab")
     # Overlap o is enough when (100 + percent) * o >= percent * (sum of the sizes).
     enough = f"{100 + percent} * least(a_size - a_place, b_size - b_place) >= {percent} * (a_size + b_size)"
-    return (
-        a.join(b, "token").where(f"a_id < if(b_settled, -1, b_id) and {enough} and {_bounds(percent)}").select("a_id", "b_id").distinct()
-    )
+    test = f"a_id < if(b_signed < 0, -1, b_id) and {enough} and {_bounds(percent)}"
+    test = test.replace("a_size", "abs(a_signed)").replace("b_size", "abs(b_signed)")
+    return a.join(b, "token").where(test).select("a_id", "b_id").distinct()
 
 
 def _later(classes: DataFrame, rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
