@@ -117,7 +117,8 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     The later class of a pair is not settled yet. A settled class posts its size as a negative number, and the
     test is part of a comparison of both sides: so both read the same shuffled postings.
     """
-    postings = classes.select(
+    # No id is null; said of both sides, it keeps a filter for one side only from telling their plans apart.
+    postings = classes.where("id is not null").select(
         "id", F.expr("if(settled, -size, size) as signed"), "bitmap", "odd", F.posexplode("prefix").alias("place", "token")
     )
     columns = ("id", "signed", "bitmap", "odd", "place")
