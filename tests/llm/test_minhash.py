@@ -90,6 +90,35 @@ def test_one_large_group(frame):
     assert {r.component_id for r in rows} == {0}
 
 
+def test_a_late_original_meets_all_of_its_variants(frame):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for n in range(300):
+        words = list(base)
+        start = rng.randrange(270)
+        words[start : start + 27] = [f"{n}x{i}" for i in range(27)]  # 0.82 like the original, 0.68 like one another
+        texts.append(" ".join(words))
+    texts.append(" ".join(base))
+    expected, links = groups(list(range(301)), sets(texts, 4), 80)
+    rows = {r.doc_id: r for r in near_duplicates(frame(list(enumerate(texts)), "doc_id long, text string"), words=4).collect()}
+    assert links >= 300 and set(expected) == {0} and [rows[i].component_id for i in range(301)] == expected
+
+
+def test_linked_pairs_of_one_template(frame):
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(150)]
+    texts = []
+    for n in range(150):
+        own = [f"{n}o{i}" for i in range(42)]
+        twin = own[:28] + [f"{n}p{i}" for i in range(14)]
+        texts += [" ".join(template + own), " ".join(template + twin)]
+    ids = rng.sample(range(10_000), len(texts))
+    expected, links = groups(ids, sets(texts, 4), 80)
+    rows = {r.doc_id: r for r in near_duplicates(frame(list(zip(ids, texts)), "doc_id long, text string"), words=4).collect()}
+    assert links == 150 and [rows[i].component_id for i in ids] == expected
+
+
 def test_odd_rows(odd, empty):
     rows = near_duplicates(odd).collect()
     assert len(rows) == len(ROWS)
