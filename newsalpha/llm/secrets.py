@@ -1,6 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that zstandard cannot shorten."""
 
 import re
+from bisect import bisect_left, bisect_right
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -16,11 +17,13 @@ KINDS = ("assign", "access", "hex", "novel")
 
 # Words that make their surroundings sensitive; a keyword of ASSIGN contains one of the first four.
 SENSITIVE = ("passw", "secret", "token", "key", "credential", "bearer", "auth", "private", "pwd", "login")
-# A candidate for the novelty test, and how far behind a sensitive word it may start.
+# A candidate for the novelty test, and how far behind a sensitive word it may start beyond the word's scope.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 REACH = 64
 # Characters before a candidate that it is measured against.
 CONTEXT = 256
+# Characters that two strings in sensitive places have in common if one is known from the other.
+PIECE = 8
 
 SPAN = "struct<kind: string, start: int, end: int, text: string>"
 FOUND = f"doc_id {{kind}}, base array<{SPAN}>, candidates array<struct<start: int, end: int, before: string, text: string>>"
@@ -28,7 +31,11 @@ FOUND = f"doc_id {{kind}}, base array<{SPAN}>, candidates array<struct<start: in
 _assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _access = re.compile(ACCESS)
 _hex = re.compile(r"[0-9a-f]{24,}")  # a run of HEX is always matched whole
-_opening = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16}")
+_blank = re.compile(r"\n[^\S\n]*\n")
+_break = re.compile(r"\n")
+_bracket = re.compile(r"[()\[\]{}]")
+_joint = re.compile(r"[\W_]*")
+_PAIRS = {")": "(", "]": "[", "}": "{"}
 _sensitive = re.compile("|".join(SENSITIVE))
 
 
@@ -47,20 +54,105 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 _LOWER = {i: i + 32 for i in range(65, 91)}
 
 
+def scopes(text: str, ends: list[int]) -> list[int]:
+    """How far the scope of the sensitive word that ends at each of ``ends`` goes.
+
+    That is to the end of its block of lines, which a blank line ends, of the brackets around it, and of the
+    brackets that open behind it in its line; ``REACH`` characters at least. Brackets without a partner are no scope.
+    """
+    blanks = [m.start() for m in _blank.finditer(text)]
+    breaks = [m.start() for m in _break.finditer(text)]
+    pairs, stack, waiting = [], [], dict.fromkeys(_PAIRS.values(), 0)
+    for m in _bracket.finditer(text):
+        if m[0] not in _PAIRS:
+            stack.append((m[0], m.start()))
+            waiting[m[0]] += 1
+        elif waiting[_PAIRS[m[0]]]:
+            opening = None
+            while opening != _PAIRS[m[0]]:
+                opening, start = stack.pop()
+                waiting[opening] -= 1
+            pairs.append((start, m.start()))
+    pairs.sort()
+    # The farthest end of the brackets that open from each one on in its line.
+    lines = [bisect_left(breaks, start) for start, _ in pairs]
+    farthest = [end for _, end in pairs]
+    for i in range(len(pairs) - 2, -1, -1):
+        if lines[i] == lines[i + 1]:
+            farthest[i] = max(farthest[i], farthest[i + 1])
+    made, at, around = [], 0, []
+    for end in ends:
+        while at < len(pairs) and pairs[at][0] < end:
+            while around and around[-1] < pairs[at][0]:
+                around.pop()
+            around.append(pairs[at][1])
+            at += 1
+        while around and around[-1] < end:
+            around.pop()
+        place = bisect_left(blanks, end)
+        reach = max(end + REACH, blanks[place] if place < len(blanks) else len(text), around[-1] if around else 0)
+        if at < len(pairs) and lines[at] == bisect_left(breaks, end):
+            reach = max(reach, farthest[at])
+        made.append(reach)
+    return made
+
+
+def _before(text: str, start: int, end: int, earlier: list[tuple[int, int]]) -> str:
+    """The text before a string without the earlier strings in sensitive places that share no piece with it.
+
+    Random strings have an alphabet in common, which must not make them vouch for one another.
+    """
+    at = max(0, start - CONTEXT)
+    pieces = {text[i : i + PIECE] for i in range(start, end - PIECE + 1)}
+    near = []
+    for a, b in reversed(earlier):
+        if b <= at:
+            break
+        near.append((max(a, at), b))
+    parts = []
+    for a, b in reversed(near):
+        if not any(text[i : i + PIECE] in pieces for i in range(a, b - PIECE + 1)):
+            parts.append(text[at:a])
+            at = b
+    return "".join([*parts, text[at:start]])
+
+
 def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str, str]]:
-    """Unbroken strings close behind a sensitive word that no base span touches, with the text before them."""
+    """Unbroken strings in sensitive places that no base span touches, with the text before them.
+
+    A string is in a sensitive place if it holds a sensitive word, stands behind one in its scope, or follows
+    a string in a sensitive place with nothing but signs and white space between, as the lines of a key do.
+    """
     lower = text.lower() if text.isascii() else text.translate(_LOWER)
     if not any(word in lower for word in SENSITIVE):
         return []
-    made, taken, done = [], [(s[1], s[2]) for s in base], 0
-    for word in _sensitive.finditer(lower):
-        for m in _opening.finditer(text, max(done, word.end()), word.end() + REACH + 16):
-            if m.start() < done:
-                continue
-            start, end = CANDIDATE.match(text, m.start()).span()
-            done = end
-            if not any(a < end and start < b for a, b in taken):
-                made.append((start, end, text[max(0, start - CONTEXT) : start], text[start:end]))
+    strings = [m.span() for m in CANDIDATE.finditer(text)]
+    if not strings:
+        return []
+    ends = [m.end() for m in _sensitive.finditer(lower)]
+    limits = scopes(text, ends)
+    for i in range(1, len(limits)):
+        limits[i] = max(limits[i], limits[i - 1])
+    taken: list[tuple[int, int]] = []
+    for _, a, b, _ in base:
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
+    made, earlier = [], []
+    last = None
+    for start, end in strings:
+        word = bisect_right(ends, start)
+        joined = last is not None and _joint.fullmatch(text, last, start) is not None
+        inside = word < len(ends) and ends[word] <= end
+        if not (joined or inside or word and start <= limits[word - 1]):
+            last = None
+            continue
+        last = end
+        near = bisect_left(taken, (end,)) - 1
+        if near < 0 or taken[near][1] <= start:
+            made.append((start, end, _before(text, start, end, earlier), text[start:end]))
+        earlier.append((start, end))
     return made
 
 
@@ -102,8 +194,8 @@ def secrets(
 ) -> DataFrame:
     """Secrets of every whole text: the base kinds, and incompressible strings in sensitive places.
 
-    A candidate is an unbroken string of 16 or more characters that starts at most ``REACH`` characters
-    behind a sensitive word. Its novelty is the number of bytes by which it lengthens the compressed text
+    A candidate is an unbroken string of 16 or more characters that holds a sensitive word, stands behind one
+    in its line, block or brackets, or follows such a string. Its novelty is the number of bytes by which it lengthens the compressed text
     before it, where the compressor knows a dictionary of identifiers; from ``share`` of its own bytes on,
     it is reported as ``novel``. The dictionary is made of the ``words`` most frequent words of the
     contexts in the whole table, so its size has a bound and goes into the task closure. Texts are read once;
