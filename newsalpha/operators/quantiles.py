@@ -1,29 +1,49 @@
 """Exact linear quantiles, ranked in the cluster."""
 
-from pyspark.sql import DataFrame
+from math import ceil, floor
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsalpha.operators.ranking import positions
+from newsalpha.session import stage
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of several columns; nulls are left out.
 
-    The values of all columns are ranked in one distributed sort. Of the ranked values only the two on
-    either side of each wanted position come back. A column without values has null quantiles.
+    Equal values are counted first, so that a frequent one is a single row. The distinct values of all columns
+    are ranked in one distributed sort; their places follow from running sums of the copies. Of these values only
+    the two on either side of each wanted position come back. A column without values has null quantiles.
     """
     values = df.select(F.explode(F.array(*(
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in columns
     ))).alias("v")).select("v.*").where("x is not null")
-    ranked = positions(values, ["name"], ["x"], "position", "total")
+    counted = values.groupBy("name", "x").agg(F.count("*").alias("copies"))
+    ranges = stage(counted.repartitionByRange("name", "x").withColumn("part", F.spark_partition_id()), "quantiles")
+    every = Window.partitionBy("name")
+    offsets = ranges.groupBy("name", "part").agg(F.sum("copies").alias("inside")).select(
+        "name", "part", F.sum("inside").over(every).alias("total"),
+        F.coalesce(F.sum("inside").over(every.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    )
+    upto = F.sum("copies").over(Window.partitionBy("name", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranges.withColumn("upto", upto).join(offsets, ["name", "part"]).select(
+        "name", "x", "total", (F.col("before") + F.col("upto")).alias("end"),
+        (F.col("before") + F.col("upto") - F.col("copies")).alias("start"),
+    )
     wanted = F.array(*(F.lit(float(p)) for p in probabilities))
     at = F.transform(wanted, lambda p: p * (F.col("total") - 1))
-    near = F.exists(at, lambda a: (F.col("position") - 1 == F.floor(a)) | (F.col("position") - 1 == F.ceil(a)))
+    near = F.exists(at, lambda a: (F.ceil(a) >= F.col("start")) & (F.floor(a) < F.col("end")) & (
+        (F.floor(a) >= F.col("start")) | (F.ceil(a) < F.col("end"))
+    ))
     found: dict[str, dict[int, float]] = {}
     totals: dict[str, int] = {}
-    for row in ranked.where(near).collect():  # two rows per column and probability
-        found.setdefault(row["name"], {})[row["position"] - 1] = row["x"]
+    for row in ranked.where(near).collect():  # at most two rows per column and probability
         totals[row["name"]] = row["total"]
+        for p in probabilities:
+            place = float(p) * (row["total"] - 1)
+            for k in (floor(place), ceil(place)):
+                if row["start"] <= k < row["end"]:
+                    found.setdefault(row["name"], {})[k] = row["x"]
     return {c: [_between(found[c], p * (totals[c] - 1)) if c in totals else None for p in probabilities] for c in columns}
 
 

@@ -107,6 +107,22 @@ def test_quantiles_of_several_columns_are_exact(spark):
     assert np.allclose(found["few"], np.quantile(np.arange(7), points)) and found["none"] == [None] * len(points)
 
 
+def test_equal_values_are_one_row_before_they_are_ranked(spark, monkeypatch):
+    sizes, whole = [], quantiles.stage
+
+    def counting(df, name):
+        made = whole(df, name)
+        sizes.append(made.count())
+        return made
+
+    monkeypatch.setattr(quantiles, "stage", counting)
+    values = [0.0] * 200 + [float(i) for i in range(-50, 50)] + [7.0] * 20
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    points = [0.0, 0.01, 0.25, 0.5, 0.8, 0.99, 1.0]
+    found = quantiles.exact_quantiles(df, ["x"], points)["x"]
+    assert sizes == [100] and np.allclose(found, np.quantile(values, points))
+
+
 def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(20_000)
     one = {r.id for r in sampling.sample_n(df, 300, ["id"]).collect()}
