@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import benchmark, bpe, common, edits, grid_join, language, lines, minhash, secrets, sharding, wrappers
+from newsalpha.llm import benchmark, bpe, common, edits, grid_join, language, lines, minhash, secrets, sharding, spellings, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,15 +33,20 @@ SELECT d.doc_id, coalesce(len(every), 0) AS n_lines, coalesce(len(every), 0) - c
   sha256(coalesce(m.text, '')) AS text_sha256
 FROM docs d LEFT JOIN made m USING (doc_id)"""
 
-# Sizes and checksums; running totals in order of the id. The checksum's table follows from its polynomial.
-SHARDS = """
-WITH steps AS (
-  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+# The table of a checksum follows from its polynomial.
+CHECKSUM_STEPS = """steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+# Of a hexadecimal string h, with the table at hand.
+CHECKSUM = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(h), 2), lambda i: CAST('0x' || h[i + 1:i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+# Sizes and checksums; running totals in order of the id.
+SHARDS = f"""
+WITH {CHECKSUM_STEPS},
 spelled AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 summed AS (
-  SELECT doc_id, len(h) // 2 + 16 AS size, xor(4294967295, list_reduce(
-    list_prepend(4294967295, list_transform(range(0, len(h), 2), lambda i: CAST('0x' || h[i + 1:i + 2] AS BIGINT))),
-    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+  SELECT doc_id, len(h) // 2 + 16 AS size, {CHECKSUM} AS text_crc32
   FROM spelled, steps),
 placed AS (
   SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS bytes_before, row_number() OVER (ORDER BY doc_id) AS r, sum(size) OVER () AS total FROM summed),
@@ -74,6 +79,29 @@ reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y
 least_one AS (SELECT x, min(y) AS c FROM reached GROUP BY x)
 SELECT doc_id, len(s) AS n_shingles, c AS component_id, doc_id = c AS kept FROM sets JOIN least_one ON x = doc_id"""
 
+# Slips by the checksum of each run; near words share what is left when a letter is taken out of one or of both.
+SPELLINGS = rf"""
+WITH RECURSIVE {CHECKSUM_STEPS},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+few AS (SELECT doc_id, run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS h FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+summed AS (SELECT run, n, length(run) AS len, {CHECKSUM} AS crc FROM few, steps),
+slipped AS (SELECT n, CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % len) || substr(run, crc % len + 2) ELSE run END AS word FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS gone FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS x, b.word AS y, b.n AS y_n FROM cut a JOIN cut b ON a.gone = b.gone AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.gone = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.gone = b.word),
+best AS (SELECT x, count(*) AS n_near, max(y_n) AS m FROM pairs GROUP BY x),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN (SELECT min(y) FROM pairs p WHERE p.x = w.word AND p.y_n = m) END AS form,
+    CASE WHEN m >= 10 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN best ON x = w.word),
+walk AS (SELECT word, word AS at FROM forms UNION ALL SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.at WHERE f.form IS NOT NULL),
+ends AS (SELECT k.word, k.at AS root FROM walk k JOIN forms f ON f.word = k.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""
+
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
@@ -148,3 +176,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_minhash_forest", sql=NEAR)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(common.table(spark, folder, "documents"), words=4, percent=80)
+
+
+@query("op12_spelling_variants", sql=SPELLINGS)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = spellings.variants(common.table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
