@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsalpha.llm import benchmark, bpe, common, edits, grid_join, language, lines, minhash, secrets, sharding, spellings, wrappers
+from newsalpha.llm import benchmark, bpe, codes, common, edits, grid_join, language, licenses, lines, minhash, secrets, sharding, spellings, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,6 +103,65 @@ ends AS (SELECT k.word, k.at AS root FROM walk k JOIN forms f ON f.word = k.at W
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""
 
 
+def _vector_codes(rounds: int = 2) -> str:
+    """Every part against every entry, in each round; distance and index are compared as one number."""
+    sql = """
+WITH kept AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+spread AS (SELECT vec_id, embedding, len(embedding) // 16 AS width, unnest(range(len(embedding))) AS i FROM kept),
+parts AS (SELECT vec_id, i // width AS part, i % width AS place, CAST(floor(256 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x FROM spread),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 64),
+book0 AS (SELECT part, entry, place, x AS c FROM parts JOIN firsts USING (vec_id)),"""
+    for k in range(rounds + 1):
+        sql += f"""
+far{k} AS (SELECT vec_id, part, entry, sum((x - c) * (x - c)) AS d FROM parts JOIN book{k} USING (part, place) GROUP BY ALL),
+near{k} AS (SELECT vec_id, part, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS d FROM far{k} GROUP BY ALL),"""
+        if k < rounds:
+            sql += f"""
+means{k} AS (SELECT part, entry, place, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM parts JOIN near{k} USING (vec_id, part) GROUP BY ALL),
+book{k + 1} AS (SELECT part, entry, place, coalesce(m, c) AS c FROM book{k} LEFT JOIN means{k} USING (part, entry, place)),"""
+    return sql + f"""
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', CAST(entry AS INT)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(c, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in row) + ")" for row in rows) + ")"
+
+
+def _license_notices(percent: int = 90) -> str:
+    """All words of the documents; every block and notice that share a word are compared, phrases by their neighbours."""
+    notices = [(i, label, [w.decode() for w in licenses.parsed(text)]) for i, (text, label) in enumerate(licenses.NOTICES)]
+    tokens = [(i, word) for i, _, words in notices for word in sorted(set(words))]
+    sizes = [(i, label, licenses.width(len(words)), len(set(words))) for i, label, words in notices]
+    return rf"""
+WITH tokens AS (SELECT * FROM {_values(tokens)} t(notice, word)),
+notices AS (SELECT * FROM {_values(sizes)} t(notice, label, width, size)),
+phrases AS (SELECT string_split(phrase, ' ') AS p, label FROM {_values(licenses.PHRASES)} t(phrase, label)),
+split AS (
+  SELECT doc_id, list_filter(str_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM split),
+base AS (
+  SELECT doc_id, label, i FROM split, phrases, unnest(range(len(w) - len(p) + 1)) AS u(i) WHERE w[i + 1] = p[1] AND w[i + 1:i + len(p)] = p),
+hits AS (SELECT doc_id, notice, word, i // width AS k FROM words JOIN tokens USING (word) JOIN notices USING (notice)),
+met AS (
+  SELECT doc_id, notice, k, count(DISTINCT word) AS shared
+  FROM (SELECT * FROM hits UNION ALL SELECT doc_id, notice, word, k - 1 FROM hits WHERE k > 0) GROUP BY ALL),
+enough AS (SELECT doc_id, label, shared / size AS share FROM met JOIN notices USING (notice) WHERE 100 * shared >= {percent} * size),
+every AS (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM enough)
+SELECT doc_id, len(w) AS n_words, (SELECT count(*) FROM base b WHERE b.doc_id = s.doc_id) AS n_base,
+  (SELECT min(i) FROM base b WHERE b.doc_id = s.doc_id) AS first_word, (SELECT max(i) FROM base b WHERE b.doc_id = s.doc_id) AS last_word,
+  coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM base b WHERE b.doc_id = s.doc_id), '') AS base_labels,
+  coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM every e WHERE e.doc_id = s.doc_id), '') AS labels,
+  CASE WHEN EXISTS (SELECT 1 FROM base b WHERE b.doc_id = s.doc_id) THEN 1.0::DOUBLE
+    ELSE coalesce((SELECT max(share) FROM enough e WHERE e.doc_id = s.doc_id), 0.0)::DOUBLE END AS score
+FROM split s"""
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = build
@@ -178,7 +237,17 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(common.table(spark, folder, "documents"), words=4, percent=80)
 
 
+@query("op11_license_scan", sql=_license_notices())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.licenses(common.table(spark, folder, "documents"), keep=["doc_id"]))
+
+
 @query("op12_spelling_variants", sql=SPELLINGS)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     found = spellings.variants(common.table(spark, folder, "documents"))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op13_vector_codes", sql=_vector_codes())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(common.table(spark, folder, "embeddings")).drop("label")
