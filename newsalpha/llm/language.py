@@ -1,6 +1,7 @@
 """Language of texts: the family first, then one-versus-one linear support vector machines within it."""
 
 import re
+import unicodedata
 from functools import reduce
 from itertools import combinations
 from operator import or_
@@ -28,13 +29,14 @@ FAMILIES = {
     "semitic": ("am", "ar", "he", "mt"),
 }
 
+# Letters, and signs of numbers such as fractions, which are told apart by their category.
 _letter = re.compile(r"[^\W\d_]")
 # ASCII letters are lowered, all other ASCII becomes a space.
 _plain = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _letter.search(text) is not None
+    return bool(text) and any(unicodedata.category(m[0])[0] == "L" for m in _letter.finditer(text))
 
 
 def profile(text: str) -> np.ndarray:
@@ -52,20 +54,25 @@ def profile(text: str) -> np.ndarray:
     return vector / np.linalg.norm(vector)
 
 
-def fit_margin(x: np.ndarray, y: np.ndarray, cost: float = 4.0, rounds: int = 30) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by coordinate descent on the dual; y is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(1) + 0.5 / cost
-    order = np.random.default_rng(7)
+def fit_margin(x: np.ndarray, rows: np.ndarray, y: np.ndarray, cost: float = 4.0, rounds: int = 30) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss on some rows of ``x``, by coordinate descent on the dual.
+
+    Rows are unit vectors; a constant 1 is their last component. ``y`` is 1 or -1 for each of ``rows``. Nothing is copied.
+    """
+    weights, bias, alpha = np.zeros(x.shape[1], dtype=x.dtype), 0.0, [0.0] * len(rows)
+    diagonal = 2 + 0.5 / cost
+    order, signs, places = np.random.default_rng(7), y.tolist(), rows.tolist()
     for _ in range(rounds):
-        for i in order.permutation(len(x)).tolist():
-            gradient = y[i] * (x[i] @ weights) - 1 + alpha[i] * 0.5 / cost
-            new = max(0.0, alpha[i] - gradient / diagonal[i])
+        for i in order.permutation(len(places)).tolist():
+            own = x[places[i]]
+            gradient = signs[i] * (float(own @ weights) + bias) - 1 + alpha[i] * 0.5 / cost
+            new = max(0.0, alpha[i] - gradient / diagonal)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * signs[i]
+                weights += x.dtype.type(step) * own
+                bias += step
                 alpha[i] = new
-    return weights
+    return np.append(weights, x.dtype.type(bias))
 
 
 def _slope(margins: np.ndarray) -> float:
@@ -77,15 +84,19 @@ def _slope(margins: np.ndarray) -> float:
 class Duels:
     """One-versus-one machines over some classes; most wins decide, then the weakest win, then the name."""
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray):
-        self.classes = sorted(set(labels.tolist()))
+    def __init__(self, x: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None):
+        """``labels`` of all rows of ``x``, of which ``rows`` teach (all by default)."""
+        rows = np.arange(len(x)) if rows is None else rows
+        own = labels[rows]
+        self.classes = sorted(set(own.tolist()))
         self.pairs, weights, slopes = list(combinations(range(len(self.classes)), 2)), [], []
         for i, j in self.pairs:
-            some = (labels == self.classes[i]) | (labels == self.classes[j])
+            some = rows[(own == self.classes[i]) | (own == self.classes[j])]
             y = np.where(labels[some] == self.classes[i], 1.0, -1.0)
-            w = fit_margin(x[some], y)
+            w = fit_margin(x, some, y)
+            margins = np.array([float(x[k] @ w[:-1]) for k in some.tolist()]) + float(w[-1])
             weights.append(w)
-            slopes.append(_slope(y * (x[some] @ w[:-1] + w[-1])))
+            slopes.append(_slope(y * margins))
         self.weights, self.slopes = np.array(weights), np.array(slopes)
 
     def decide(self, x: np.ndarray) -> tuple[str, float]:
@@ -107,7 +118,7 @@ class Hierarchy:
         family_of = {language: family for family, members in families.items() for language in members}
         family = np.array([family_of.get(language, language) for language in languages.tolist()])
         self.families = Duels(x, family)
-        self.languages = {name: Duels(x[family == name], languages[family == name]) for name in self.families.classes}
+        self.languages = {name: Duels(x, languages, np.flatnonzero(family == name)) for name in self.families.classes}
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not has_letter(text):
@@ -119,23 +130,26 @@ class Hierarchy:
 
 
 def fit(
-    labelled: DataFrame, sample: int = 2000, families: dict[str, tuple[str, ...]] = FAMILIES,
+    labelled: DataFrame, sample: int = 2000, classes: int = 100, families: dict[str, tuple[str, ...]] = FAMILIES,
     id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
 ) -> Hierarchy | None:
     """Fit on at most ``sample`` labelled rows, the same number of each language, drawn by a hash of id and text.
 
-    Rows without language, text or letters are left out. The rows are chosen and profiled in the cluster;
-    only the bounded sample reaches the driver. None if nothing is left to learn from.
+    The ``classes`` languages with most rows teach (ties: by code), so that a column of stray values makes neither a
+    large plan nor many machines. Rows without language, text or letters are left out. The rows are chosen and profiled
+    in the cluster; only the slots that a text fills reach the driver, some kilobytes a row of the bounded sample. None
+    if nothing is left to learn from.
     """
     rows = labelled.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).cast("string").alias("language")
     ).where(F.col("language").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    count = rows.select("language").distinct().count()
-    if not count:
+    counted = rows.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(classes)
+    teaching = [row["language"] for row in counted.collect()]
+    if not teaching:
         return None
-    each = max(1, sample // count)
+    each = max(1, sample // len(teaching))
     drawn = Window.partitionBy("language").orderBy("draw")
-    rows = rows.withColumn("draw", F.xxhash64("id", "text"))
+    rows = rows.where(F.col("language").isin(teaching)).withColumn("draw", F.xxhash64("id", "text"))
     # The draws alone are ranked first, so that texts move only if they are in the sample.
     last = rows.select("language", "draw", F.row_number().over(drawn).alias("n")).where(F.col("n") <= each).groupBy("language").agg(F.max("draw").alias("last"))
     few = reduce(or_, ((F.col("language") == r["language"]) & (F.col("draw") <= r["last"]) for r in last.collect()))
@@ -143,16 +157,21 @@ def fit(
 
     def profiles(columns: dict[str, list]) -> dict[str, list]:
         some = [i for i, text in enumerate(columns["text"]) if has_letter(text)]
+        found = [profile(columns["text"][i]) for i in some]
+        filled = [np.flatnonzero(p) for p in found]
         return {
             "language": [columns["language"][i] for i in some],
-            "profile": [profile(columns["text"][i]).astype(np.float32).tobytes() for i in some],
+            "slots": [f.astype("<u2").tobytes() for f in filled],
+            "sizes": [p[f].astype("<f4").tobytes() for p, f in zip(found, filled)],
         }
 
-    found = rows_mapped(chosen, profiles, "language string, profile binary").orderBy("language", "profile").collect()
-    if not found:
+    found = rows_mapped(chosen, profiles, "language string, slots binary, sizes binary").orderBy("language", "slots", "sizes").toArrow()
+    if not found.num_rows:
         return None
-    x = np.array([np.frombuffer(row["profile"], dtype=np.float32) for row in found], dtype=np.float64)
-    return Hierarchy(x, np.array([row["language"] for row in found], dtype=object), families)
+    x = np.zeros((found.num_rows, BUCKETS), dtype=np.float32)
+    for row, slots, sizes in zip(x, found.column("slots").to_pylist(), found.column("sizes").to_pylist()):
+        row[np.frombuffer(slots, "<u2")] = np.frombuffer(sizes, "<f4")
+    return Hierarchy(x, np.array(found.column("language").to_pylist(), dtype=object), families)
 
 
 def identify(
