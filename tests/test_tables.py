@@ -107,20 +107,40 @@ def test_quantiles_of_several_columns_are_exact(spark):
     assert np.allclose(found["few"], np.quantile(np.arange(7), points)) and found["none"] == [None] * len(points)
 
 
-def test_equal_values_are_one_row_before_they_are_ranked(spark, monkeypatch):
-    sizes, whole = [], quantiles.stage
+def test_quantiles_are_counted_cell_by_cell(spark):
+    """With few cells and no value read early: equal values, all magnitudes, both signs, infinities and neighbours in one cell."""
+    values = [0.0] * 200 + [float(i) for i in range(-50, 50)] + [7.0] * 20 + [1 + i * 2.0**-52 for i in range(40)]
+    values += [s * 10.0**e for e in range(-320, 308, 13) for s in (1, -1)] + [1.7e308, -1.7e308]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    points = [0.0, 0.01, 0.25, 0.5, 0.6, 0.75, 0.8, 0.99, 1.0]
+    for cells, few in ((4, 0), (1024, 0), (1024, 10_000)):
+        found = quantiles.exact_quantiles(df, ["x"], points, cells, few)["x"]
+        assert np.allclose(found, np.quantile(values, points), rtol=1e-15, atol=0)
+    odd = spark.createDataFrame([(v,) for v in [float("inf"), float("-inf"), float("nan"), 1.0, 2.0]], "x double")
+    found = quantiles.exact_quantiles(odd, ["x"], [0.0, 0.25, 0.5, 0.75], few=0)["x"]
+    assert found == [float("-inf"), 1.0, 2.0, float("inf")]
 
-    def counting(df, name):
-        made = whole(df, name)
-        sizes.append(made.count())
-        return made
 
-    monkeypatch.setattr(quantiles, "stage", counting)
-    values = [0.0] * 200 + [float(i) for i in range(-50, 50)] + [7.0] * 20
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    points = [0.0, 0.01, 0.25, 0.5, 0.8, 0.99, 1.0]
-    found = quantiles.exact_quantiles(df, ["x"], points)["x"]
-    assert sizes == [100] and np.allclose(found, np.quantile(values, points))
+def test_nothing_is_sorted_or_dealt_out_by_range_for_quantiles(spark, monkeypatch):
+    """A pass moves one row per cell and task."""
+    moved, collect = [], type(spark.range(0)).collect
+
+    def watched(df):
+        moved.append((df._jdf.queryExecution().executedPlan().toString(), len(rows := collect(df))))
+        return rows
+
+    monkeypatch.setattr(type(spark.range(0)), "collect", watched)
+    quantiles.exact_quantiles(spark.range(50_000).select((F.col("id") % 1000).cast("double").alias("x")), ["x"], [0.3, 0.9], few=100)
+    assert len(moved) <= 3 and all("rangepartitioning" not in plan and n <= 2 * quantiles.CELLS for plan, n in moved)
+
+
+def test_the_nth_draw_is_found_by_its_digits(spark):
+    df = spark.range(5000).select(sampling.draw(["id"], 3).alias("draw"))
+    every = sorted(r.draw for r in df.collect())
+    for n in (1, 2, 777, 5000):
+        for digits, few in ((1, 0), (3, 0), (3, 10_000)):
+            assert sampling.nth_draw(df, n, digits, few) == (every[n - 1], n - 1, 1)
+    assert sampling.nth_draw(df, 5001) is None and sampling.nth_draw(df.limit(0), 1) is None
 
 
 def test_sample_is_exact_and_repeatable(spark):
@@ -220,6 +240,8 @@ def test_exact_ntile_equals_the_window(spark):
     found = ranking.exact_ntile(rows, "date", "score", "permno", 5, "b")
     assert found.columns == ["permno", "date", "score", "b"] and found.count() == 4000
     assert {r.permno: r.b for r in found.collect()} == expected
+    split = ranking.exact_ntile(rows, "date", "score", "permno", 5, "b", sorted_=400)
+    assert split.count() == 4000 and {r.permno: r.b for r in split.collect()} == expected
 
 
 def test_daily_rows_must_be_unique(frame, spark, tmp_path):
