@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from newsalpha.catalog.base import (
     CLEAN, DAILY, DAILY_SECTORS, DATED, FUND_RETURNS, FUNDS, LABELED, PANEL, SCORED, SECTORED, WINDOWS, query, rounded,
 )
+from newsalpha.constants import LINK_RANKS, LINK_TYPES
 from newsalpha.operators import funnel, labels, linking, panel, rolling, sectors, sessions
 from newsalpha.operators.embedding import not_yet_embedded as still_to_embed
 from newsalpha.operators.filters import company_news, daily_market_cap
@@ -127,19 +128,27 @@ def security_interval_join(t):
     return joined.select("permno", "date", "ret", "sharetype", "usincflg")
 
 
-@query("""
-WITH spans AS (SELECT permno, mbrstartdt AS a, mbrenddt AS z FROM fx_membership),
--- Two closed intervals overlap unless one ends before the other begins; an open end lasts as long as the membership.
+def listed(values):
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@query(f"""
+WITH member_days AS (
+  SELECT permno, CAST(unnest(generate_series(mbrstartdt, mbrenddt, INTERVAL 1 DAY)) AS DATE) AS day FROM fx_membership),
+-- Names, links and sectors of a member are those that hold on one of its days at least; the shared days are the effective window.
 named AS (
-  SELECT m.*, n.comnam, n.ticker, n.namedt, n.nameenddt FROM spans m
-  LEFT JOIN fx_stocknames n ON n.permno = m.permno AND NOT (n.nameenddt < m.a OR m.z < n.namedt)),
-kept_links AS (SELECT lpermno, gvkey, linkdt, linkenddt FROM fx_ccm WHERE linktype[1] = 'L' AND linktype[2:] IN ('C', 'U') AND linkprim IN ('C', 'P')),
+  SELECT DISTINCT n.* FROM member_days m JOIN fx_stocknames n ON n.permno = m.permno AND m.day BETWEEN n.namedt AND n.nameenddt),
 linked AS (
-  SELECT m.*, k.gvkey FROM named m
-  LEFT JOIN kept_links k ON k.lpermno = m.permno AND NOT (coalesce(k.linkenddt, m.z) < m.a OR m.z < k.linkdt))
-SELECT m.permno, a AS mbrstartdt, z AS mbrenddt, comnam, ticker, namedt, nameenddt, m.gvkey, g.gsector, g.indfrom, g.indthru,
-  CASE WHEN g.indfrom > a THEN g.indfrom ELSE a END AS effstartdt, CASE WHEN g.indthru < z THEN g.indthru ELSE z END AS effenddt
-FROM linked m LEFT JOIN fx_hgic g ON g.gvkey = m.gvkey AND NOT (coalesce(g.indthru, m.z) < m.a OR m.z < g.indfrom)""")
+  SELECT DISTINCT m.permno, k.gvkey, k.linkdt FROM member_days m JOIN fx_ccm k ON k.lpermno = m.permno AND m.day >= k.linkdt
+  WHERE k.linktype IN ({listed(LINK_TYPES)}) AND k.linkprim IN ({listed(LINK_RANKS)}) AND (k.linkenddt IS NULL OR m.day <= k.linkenddt)),
+tagged AS (
+  SELECT m.permno, g.gvkey, g.gsector, g.indfrom, g.indthru, min(m.day) AS first_day, max(m.day) AS last_day
+  FROM member_days m JOIN (SELECT DISTINCT permno, gvkey FROM linked) k ON k.permno = m.permno
+  JOIN fx_hgic g ON g.gvkey = k.gvkey AND m.day >= g.indfrom AND (g.indthru IS NULL OR m.day <= g.indthru) GROUP BY ALL)
+SELECT m.permno, m.mbrstartdt, m.mbrenddt, n.comnam, n.ticker, n.namedt, n.nameenddt, k.gvkey, g.gsector,
+  g.indfrom AS gics_startdt, g.indthru AS gics_enddt, coalesce(g.first_day, m.mbrstartdt) AS effstartdt, coalesce(g.last_day, m.mbrenddt) AS effenddt
+FROM fx_membership m LEFT JOIN named n ON n.permno = m.permno LEFT JOIN linked k ON k.permno = m.permno
+LEFT JOIN tagged g ON g.permno = k.permno AND g.gvkey = k.gvkey""")
 def constituent_spells(t):
     spells = linking.constituent_spells(t("fx_membership"), t("fx_stocknames"), t("fx_ccm"), t("fx_hgic"))
     return spells.drop("linkdt", "linkenddt")
@@ -197,9 +206,19 @@ def funnel_stage_counts(t):
     return funnel.funnel_stage_counts(t("fx_headlines"), t("fx_daily"), t("fx_calendar"))
 
 
+def funnelled(t):
+    return funnel.filtering_funnel(t("fx_headlines"), t("fx_daily"), t("fx_calendar"))
+
+
 @query(f"WITH {CLEAN} SELECT rp_story_id, permno, article_date, headline, relevance FROM clean")
 def filtering_funnel(t):
-    return clean(t).select("rp_story_id", "permno", "article_date", "headline", "relevance")
+    return funnelled(t)[0].select("rp_story_id", "permno", "article_date", "headline", "relevance")
+
+
+@query(f"WITH {STAGES} SELECT stage, n FROM stages")
+def filtering_funnel_counts(t):
+    """The counts of the run that makes the rows."""
+    return funnelled(t)[1]
 
 
 @query(f"""WITH {STAGES},

@@ -8,7 +8,7 @@ from newsalpha.catalog.joins import built_panel, daily, sectored
 from newsalpha.catalog.summaries import PREDICTED, predicted
 from newsalpha.operators import decomposition, embedding, evaluation, labels, logistic, panel, portfolio, rolling, sectors, similarity
 from newsalpha.operators.sampling import sample_n
-from newsalpha.session import new_folder
+from newsalpha.session import new_folder, stage
 
 PANEL_SIZE = 30
 
@@ -17,6 +17,10 @@ def panel_of(t: Tables, n: int = PANEL_SIZE):
     return sample_n(t("embeddings"), n, ["vec_id"])
 
 
+def dot(a: str, b: str):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
 def drawn(n):
     return f"""drawn AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM {{embeddings}}
   ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT {n}),
@@ -167,9 +171,32 @@ def tfidf_weights(t):
     )
 
 
-@query()
+@query("SELECT doc_id, CAST(64 AS INT) AS dims, 0.0::DOUBLE AS gap FROM {documents}")
 def tfidf_svd(t):
-    return decomposition.tfidf_svd(t("documents"), "doc_id", "text")
+    """Whole fit and projection of every document.
+
+    What the directions return for a document's own weights is its embedding's squared length, if the embedding is their
+    product; the gap between the two is zero.
+    """
+    docs = t("documents")
+    model = decomposition.fit_tfidf_svd(docs, "text")
+    vectors = stage(model.transform(docs, "doc_id", "text"), "embeddings")
+    own = model.weights.numbered(docs, "doc_id", "text").join(model.directions, "number").join(vectors, "doc_id")
+    across = own.groupBy("doc_id").agg(F.sum(F.col("weight") * dot("direction", "embedding")).alias("across"))
+    gap = F.round(F.abs(F.coalesce("across", F.lit(0.0)) - dot("embedding", "embedding")), 6)
+    return vectors.join(across, "doc_id", "left").select("doc_id", F.size("embedding").alias("dims"), gap.alias("gap"))
+
+
+@query(f"""WITH {TFIDF.replace("{{", "{").replace("}}", "}")}
+SELECT CAST(j AS INT) AS direction, 0.0::DOUBLE AS residual, 0.0::DOUBLE AS skew, (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) FROM weighted) AS trace
+FROM unnest(range(64)) u(j)""")
+def tfidf_svd_directions(t):
+    """A'A v = s^2 v and orthogonality of the 64 directions, and the sum of all squared weights."""
+    docs = t("documents")
+    model = decomposition.fit_tfidf_svd(docs, "text")
+    errors = decomposition.direction_errors(model, docs, "doc_id", "text")
+    trace = model.weights.numbered(docs, "doc_id", "text").agg(F.round(F.sum(F.col("weight") * F.col("weight")), 4).alias("trace"))
+    return errors.select("direction", F.round("residual", 5).alias("residual"), F.round("skew", 6).alias("skew")).crossJoin(trace)
 
 
 @query("""

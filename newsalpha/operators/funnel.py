@@ -7,6 +7,7 @@ from newsalpha.constants import FUNNEL_LABELS, FUNNEL_STAGES
 from newsalpha.functions.numbers import percent
 from newsalpha.operators.filters import filter_headline_length, long_enough
 from newsalpha.operators.sessions import shift_opening_window
+from newsalpha.session import stage
 
 
 def single_issuer_story_ids(news: DataFrame) -> DataFrame:
@@ -63,39 +64,52 @@ def single_issuer_headlines(news: DataFrame, calendar: DataFrame, min_chars: int
     return shift_opening_window(single, calendar)
 
 
-def funnel_stage_counts(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:
-    """(stage, n) for all five stages from one pass over the news.
+def flagged_stages(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:
+    """All news rows with their article date and ``reached``, the last stage they pass before copies are removed.
 
-    Each test becomes a flag; the stages are sums of flags. The last one counts distinct
-    keys, which Spark pre-aggregates before it shuffles.
+    Each test becomes a flag. Short headlines are null: no later stage reads them.
     """
     stories = single_issuer_story_ids(news).withColumn("is_single", F.lit(True))
     returns = return_keys(daily).distinct().withColumn("has_return", F.lit(True))
+    long = F.col("permno").isNotNull() & long_enough(F.col("headline"), min_chars)
+    narrow = news.withColumn("headline", F.when(long, F.col("headline")))
     flagged = (
-        shift_opening_window(news, calendar)
+        shift_opening_window(narrow, calendar)
         .join(stories, "rp_story_id", "left")
         .join(returns, ["permno", "article_date"], "left")
     )
     single = F.col("permno").isNotNull() & F.col("is_single").isNotNull()
     priced = single & F.col("has_return").isNotNull()
-    long = priced & long_enough(F.col("headline"), min_chars)
+    reached = F.when(priced & F.col("headline").isNotNull(), 3).when(priced, 2).when(single, 1).otherwise(0)
+    return flagged.withColumn("reached", reached).drop("is_single", "has_return")
+
+
+def stage_counts(flagged: DataFrame) -> DataFrame:
+    """(stage, n): sums of flags; the last one counts distinct keys, which Spark pre-aggregates before it shuffles."""
     counts = flagged.agg(
         F.count("*").alias("0_raw"),
-        F.count_if(single).alias("1_single_entity"),
-        F.count_if(priced).alias("2_has_return"),
-        F.count_if(long).alias("3_length_filter"),
-        F.countDistinct(F.when(long, F.struct("permno", "article_date", "headline"))).alias("4_deduplicated"),
+        *(F.count_if(F.col("reached") >= k).alias(FUNNEL_STAGES[k]) for k in (1, 2, 3)),
+        F.countDistinct(F.when(F.col("reached") == 3, F.struct("permno", "article_date", "headline"))).alias("4_deduplicated"),
     )
-    names = FUNNEL_STAGES
-    return counts.unpivot([], names, "stage", "n")
+    return counts.unpivot([], FUNNEL_STAGES, "stage", "n")
+
+
+def funnel_stage_counts(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> DataFrame:
+    """(stage, n) for all five stages from one pass over the news."""
+    return stage_counts(flagged_stages(news, daily, calendar, min_chars))
 
 
 def filtering_funnel(news: DataFrame, daily: DataFrame, calendar: DataFrame, min_chars: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, stage counts)."""
-    return (
-        clean_headlines(news, daily, calendar, min_chars),
-        funnel_stage_counts(news, daily, calendar, min_chars),
-    )
+    """(clean rows, stage counts) from one run over the news.
+
+    The flagged rows are written once, those that fail a test with nothing but the stage they reached; clean rows
+    and counts are read from there. Counts are sums over written rows, so a task that runs twice counts once.
+    """
+    flagged = flagged_stages(news, daily, calendar, min_chars)
+    passed = F.col("reached") == 3
+    kept = flagged.select("reached", *(F.when(passed, F.col(c)).alias(c) for c in flagged.columns if c != "reached"))
+    written = stage(kept, "funnel")
+    return dedup_headlines(written.where(passed).drop("reached")), stage_counts(written)
 
 
 def funnel_table(stage_counts: DataFrame) -> DataFrame:

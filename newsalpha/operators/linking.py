@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsalpha.constants import LINK_RANKS, LINK_TYPES
 from newsalpha.functions.text import isin_to_cusip, normalize_company_name
 from newsalpha.operators.filters import company_news
 
@@ -68,14 +69,14 @@ def constituent_spells(members: DataFrame, names: DataFrame, links: DataFrame, s
     """Index membership joined to names, company links and sectors whose intervals overlap it.
 
     The effective window is the part that membership and sector share; an open end
-    runs to the end of the membership.
+    runs to the end of the membership. The sector's own interval is ``gics_startdt, gics_enddt``.
     """
     end = F.col("mbrenddt")
     names = names.withColumnRenamed("permno", "name_permno")
-    links = links.where(F.col("linktype").isin("LC", "LU") & F.col("linkprim").isin("P", "C")).select(
+    links = links.where(F.col("linktype").isin(LINK_TYPES) & F.col("linkprim").isin(LINK_RANKS)).select(
         "lpermno", "gvkey", "linkdt", "linkenddt"
     )
-    sectors = sectors.withColumnRenamed("gvkey", "sector_gvkey")
+    sectors = sectors.withColumnsRenamed({"gvkey": "sector_gvkey", "indfrom": "gics_startdt", "indthru": "gics_enddt"})
     joined = (
         members.join(
             names,
@@ -94,13 +95,13 @@ def constituent_spells(members: DataFrame, names: DataFrame, links: DataFrame, s
         .join(
             sectors,
             (F.col("gvkey") == F.col("sector_gvkey"))
-            & (F.col("mbrstartdt") <= F.coalesce("indthru", end))
-            & (end >= F.col("indfrom")),
+            & (F.col("mbrstartdt") <= F.coalesce("gics_enddt", end))
+            & (end >= F.col("gics_startdt")),
             "left",
         )
     )
     return joined.drop("name_permno", "lpermno", "sector_gvkey").withColumns(
-        effective_interval("mbrstartdt", "mbrenddt", "indfrom", "indthru")
+        effective_interval("mbrstartdt", "mbrenddt", "gics_startdt", "gics_enddt")
     )
 
 

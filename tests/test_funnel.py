@@ -84,6 +84,18 @@ def test_funnel_with_one_hot_issuer_day_and_many_copies(spark, frame):
     assert copy.rp_story_id == 0
 
 
+def test_rows_and_counts_come_from_one_run(spark, frame, tmp_path):
+    """Neither of the two plans reads the news, and rows that fail carry nothing."""
+    small_news(frame).write.parquet(str(tmp_path / "news"))
+    daily = frame([(10, date(2024, 1, 3), 0.1), (12, date(2024, 1, 3), None)], "permno bigint, date date, ret double")
+    clean, counts = funnel.filtering_funnel(spark.read.parquet(str(tmp_path / "news")), daily, calendar(frame, "2024-01-03", "2024-01-04"))
+    assert not any(str(tmp_path) in f for df in (clean, counts) for f in df.inputFiles())
+    assert clean.columns == ["permno", "article_date", "rp_story_id", "timestamp_utc", "headline"]
+    written = spark.read.parquet(*clean.inputFiles())
+    assert sorted(r.headline for r in written.collect() if r.headline) == ["a headline", "a headline", "known and unknown"]
+    assert [r.n for r in counts.orderBy("stage").collect()] == [9, 6, 5, 3, 2]
+
+
 def test_copies_are_cut_before_the_shuffle(frame):
     news = small_news(frame).withColumn("article_date", F.to_date("timestamp_utc"))
     plan = funnel.dedup_headlines(news)._jdf.queryExecution().executedPlan().toString()

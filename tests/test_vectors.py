@@ -192,6 +192,30 @@ def test_tfidf_svd_matches_numpy(frame):
     assert np.allclose(found, weights @ model.basis, atol=1e-9)
 
 
+def test_direction_errors_tell_wrong_directions(frame):
+    df = frame([(i, " ".join(f"word{k}" for k in range(i % 7, i % 7 + i % 5 + 2))) for i in range(30)], "id int, text string")
+    model = decomposition.fit_tfidf_svd(df, "text", 3)
+    good = decomposition.direction_errors(model, df, "id", "text").collect()
+    assert len(good) == 3 and all(r.residual < 1e-8 and r.skew < 1e-8 for r in good)
+    bent = F.transform("direction", lambda x, j: F.when(j == 1, x * 2).otherwise(x))
+    model.directions = model.directions.select("number", bent.alias("direction"))
+    bad = {r.direction: r for r in decomposition.direction_errors(model, df, "id", "text").collect()}
+    assert bad[1].skew > 0.5 and bad[0].skew < 1e-8
+
+
+def test_neither_vocabulary_nor_directions_go_through_the_driver(frame):
+    """The embeddings come from written tables by joins; nothing is made from a local list."""
+    df = frame([(i, f"alpha beta gamma{i % 3}") for i in range(12)], "id int, text string")
+    plan = decomposition.tfidf_svd(df, "id", "text", k=2)._jdf.queryExecution().toString()
+    assert "LocalTableScan" not in plan and "LogicalRDD" not in plan.replace("LogicalRDD [id", "")
+    assert plan.count("words-") and plan.count("directions-")
+
+
+def test_fits_without_words(frame):
+    df = frame([(1, "! ?"), (2, None)], "id int, text string")
+    assert [r.embedding for r in decomposition.tfidf_svd(df, "id", "text", k=4).collect()] == [[], []]
+
+
 def test_fit_on_training_texts_only(frame):
     train = frame([(i, f"alpha beta gamma{i % 3}") for i in range(12)], "id int, text string")
     new = frame([(99, "alpha unseen words"), (100, None)], "id int, text string")
