@@ -1,7 +1,8 @@
 """Token counts that follow edits: a segment tree over the pre-tokens of each document."""
 
-from itertools import accumulate
+from itertools import accumulate, chain
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +25,31 @@ class CountTree:
     for each leaf it touches.
     """
 
-    def __init__(self, text: str, coder: Encoder):
+    def __init__(self, text: str, coder: Encoder, pieces: list[str] | None = None, known: dict | None = None):
+        """``pieces`` and what is ``known`` of them, where the text has been split already."""
         self.text, self.coder = text, coder
-        pieces = coder.splitter.split(text)
-        known = coder.learn(set(pieces))
-        self.leaves: list[list[tuple[int, int]]] = [[(len(p), known[p][1])] for p in pieces]
+        pieces = coder.splitter.split(text) if pieces is None else pieces
+        known = coder.learn(set(pieces)) if known is None else known
+        self.count = self.leaves = len(pieces)
         self.size = 1 << max(0, len(pieces) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        for i, ((chars, tokens),) in enumerate(self.leaves):
-            self.chars[self.size + i], self.tokens[self.size + i] = chars, tokens
-        for node in range(self.size - 1, 0, -1):
-            self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
-            self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
+        # Leaves that an edit has touched; all others hold one piece, which their sums tell.
+        self.touched: dict[int, list[tuple[int, int]]] = {}
+        self.chars = self._summed([len(p) for p in pieces])
+        self.tokens = self._summed([known[p][1] for p in pieces])
+
+    def _summed(self, values: list[int]) -> np.ndarray:
+        """The tree over some values, level by level from the leaves."""
+        tree = np.zeros(2 * self.size, dtype=np.int64)
+        tree[self.size : self.size + len(values)] = values
+        low = self.size
+        while low > 1:
+            tree[low // 2 : low] = tree[low : 2 * low : 2] + tree[low + 1 : 2 * low : 2]
+            low //= 2
+        return tree
 
     @property
     def total(self) -> int:
-        return self.tokens[1]
+        return int(self.tokens[1])
 
     def leaf_at(self, place: int) -> tuple[int, int]:
         """The leaf that holds the character at ``place``, and where it starts; the last leaf beyond the end."""
@@ -47,16 +57,21 @@ class CountTree:
         while node < self.size:
             node *= 2
             if place >= start + self.chars[node]:
-                start += self.chars[node]
+                start += int(self.chars[node])
                 node += 1
-        leaf = min(node - self.size, max(0, len(self.leaves) - 1))
+        leaf = min(node - self.size, max(0, self.leaves - 1))
         return (leaf, start) if leaf == node - self.size else (leaf, start - self._chars(leaf))
 
     def _chars(self, leaf: int) -> int:
-        return self.chars[self.size + leaf]
+        return int(self.chars[self.size + leaf])
+
+    def _held(self, leaf: int) -> list[tuple[int, int]]:
+        held = self.touched.get(leaf)
+        return [(self._chars(leaf), int(self.tokens[self.size + leaf]))] if held is None else held
 
     def _put(self, leaf: int, pieces: list[tuple[int, int]]) -> None:
-        self.leaves[leaf] = pieces
+        self.count += len(pieces) - len(self._held(leaf))
+        self.touched[leaf] = pieces
         node = self.size + leaf
         chars, tokens = sum(p[0] for p in pieces) - self.chars[node], sum(p[1] for p in pieces) - self.tokens[node]
         while node and (chars or tokens):
@@ -68,7 +83,7 @@ class CountTree:
         """Replace the characters from ``start`` to before ``end``; returns the number of pre-tokens encoded anew."""
         if not self.leaves:
             self.__init__(text, self.coder)
-            return sum(map(len, self.leaves))
+            return self.count
         first, begin = self.leaf_at(max(0, start - LOOK))
         while first and begin > max(0, start - LOOK):
             first -= 1
@@ -83,24 +98,24 @@ class CountTree:
             at = m.end()
             if at >= changed:
                 while old_end < end or old_end + shift < at:
-                    if last + 1 == len(self.leaves):
+                    if last + 1 == self.leaves:
                         break
                     last += 1
                     old_end += self._chars(last)
                 if old_end >= end and old_end + shift == at:
                     break
         else:
-            last = len(self.leaves) - 1
+            last = self.leaves - 1
         known = self.coder.learn(set(spans))
         self._put(first, [(len(p), known[p][1]) for p in spans])
         for leaf in range(first + 1, last + 1):
-            if self.leaves[leaf]:
+            if self._held(leaf):
                 self._put(leaf, [])
         self.text = new
         return len(spans)
 
     def pieces(self) -> list[tuple[int, int]]:
-        return [piece for leaf in self.leaves for piece in leaf]
+        return [piece for leaf in range(self.leaves) for piece in self._held(leaf)]
 
 
 def settle(edits: list[dict] | None, length: int) -> list[tuple[int, int, str]]:
@@ -137,15 +152,16 @@ def count_edited(
 
     def work(rows: list) -> dict[str, list]:
         coder = encoder(path, pattern)
-        coder.learn({p for row in rows for p in coder.splitter.split(row["text"] or "")})
+        split = [coder.splitter.split(row["text"] or "") for row in rows]
+        known = coder.learn(set(chain.from_iterable(split)))
         made: dict[str, list] = {part.split()[0]: [] for part in schema.split(", ")}
-        for row in rows:
-            tree = CountTree(row["text"] or "", coder)
+        for row, pieces in zip(rows, split):
+            tree = CountTree(row["text"] or "", coder, pieces, known)
             before, todo = tree.total, settle(row["edits"], len(row["text"] or ""))
             recounted = sum(tree.edit(*edit) for edit in todo)
-            pieces = tree.pieces()
-            values = [tree.total, len(pieces), before, len(todo), recounted]
+            values = [tree.total, tree.count, before, len(todo), recounted]
             if leaves:
+                pieces = tree.pieces()
                 values += [[p[0] for p in pieces], [p[1] for p in pieces]]
             for column, value in zip(made.values(), values):
                 column.append(value)

@@ -25,6 +25,7 @@ def test_trees_equal_a_whole_count():
         pieces = coder.splitter.split(new)
         known = coder.learn(set(pieces))
         assert tree.text == new and tree.pieces() == [(len(p), known[p][1]) for p in pieces]
+        assert tree.count == len(pieces)
         assert tree.total == sum(known[p][1] for p in pieces) and tree.chars[1] == len(new)
 
 
