@@ -349,11 +349,16 @@ def features_by_year(t, first_entry: bool = False):
     )
 
 
-def fitted(t, first_entry: bool = False):
-    rows = features_by_year(t, first_entry)
+def last_years(rows):
+    """Training rows, those of the last but one year, and those of the last."""
     year = F.year("article_date")
     last = rows.agg(F.max(year)).first()[0]
-    return logistic.train_logistic(rows.where(year < last - 1), rows.where(year == last - 1)), rows.where(year == last)
+    return rows.where(year < last - 1), rows.where(year == last - 1), rows.where(year == last)
+
+
+def fitted(t, first_entry: bool = False):
+    train, validation, test = last_years(features_by_year(t, first_entry))
+    return logistic.train_logistic(train, validation), test
 
 
 @query()
@@ -378,12 +383,31 @@ def train_ridge(t):
     return ridge(t)
 
 
+# Of an exact fit the gradient is zero at every place of the vectors and for the intercept, at -1.
+NO_GRADIENT = """SELECT CAST(pos - 1 AS INT) AS pos, 0.0::DOUBLE AS gradient
+FROM unnest(range((SELECT max(len(embedding)) + 1 FROM {embeddings}))) u(pos)"""
+
+
+@query(NO_GRADIENT)
+def train_logistic_gradient(t):
+    """The gradient of the objective at the weights that ``train_logistic`` finds on whole vectors."""
+    train, validation, _ = last_years(features_by_year(t))
+    model = logistic.train_logistic(train, validation)
+    return logistic.logistic_gradient(model, train).select("pos", F.abs(F.round("gradient", 4)).alias("gradient"))
+
+
+@query(NO_GRADIENT)
+def train_ridge_gradient(t):
+    """The same for ``train_ridge``."""
+    train, validation, _ = last_years(features_by_year(t).withColumn("ret", F.log("market_cap")))
+    model = logistic.train_ridge(train, validation)
+    return logistic.ridge_gradient(model, train).select("pos", F.abs(F.round("gradient", 6)).alias("gradient"))
+
+
 def ridge(t, first_entry: bool = False):
-    rows = features_by_year(t, first_entry).withColumn("ret", F.log("market_cap"))
-    year = F.year("article_date")
-    last = rows.agg(F.max(year)).first()[0]
-    model = logistic.train_ridge(rows.where(year < last - 1), rows.where(year == last - 1))
-    scored = model.predict(rows.where(year == last))
+    train, validation, test = last_years(features_by_year(t, first_entry).withColumn("ret", F.log("market_cap")))
+    model = logistic.train_ridge(train, validation)
+    scored = model.predict(test)
     return scored.select(
         "rp_story_id", "predicted_return", F.lit(model.best_alpha).alias("best_alpha"), F.lit(model.val_mse).alias("val_mse")
     )

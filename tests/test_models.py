@@ -41,6 +41,24 @@ def test_fit_minimizes_the_stated_objective(spark, c):
     assert np.abs(gradient).max() < 1e-3 * max(1.0, c * len(y))
 
 
+def test_gradients_tell_fits_from_other_weights(spark):
+    """Equal to NumPy's at any weights, zero at those of a fit."""
+    df, x, y = blobs(spark, 300, 3, gap=0.3)
+    fitted = logistic.train_logistic(df, df, [0.01])
+    rows = {r.pos: r.gradient for r in logistic.logistic_gradient(fitted, df).collect()}
+    assert sorted(rows) == list(range(-1, x.shape[1])) and max(map(abs, rows.values())) < 1e-4
+    fitted.best_c = 10.0
+    scaled, w = (x - x.mean(0)) / x.std(0), fitted.model.coefficients.toArray()
+    p = 1 / (1 + np.exp(-(scaled @ w + fitted.model.intercept)))
+    off = {r.pos: r.gradient for r in logistic.logistic_gradient(fitted, df).collect()}
+    assert np.allclose([off[j] for j in range(x.shape[1])], scaled.T @ (p - y) / 300 + w / 3000) and off[0] != pytest.approx(rows[0], abs=1e-4)
+    target = df.withColumn("ret", F.col("label") * 2 + F.col("features").cast("string").substr(2, 4).cast("double"))
+    ridge = logistic.train_ridge(target, target, grid=[0.1])
+    assert max(abs(r.gradient) for r in logistic.ridge_gradient(ridge, target).collect()) < 1e-9
+    ridge.best_alpha = 1.0
+    assert max(abs(r.gradient) for r in logistic.ridge_gradient(ridge, target).collect()) > 1e-3
+
+
 def test_scaling_uses_population_moments_of_the_training_rows(spark):
     df, x, _ = blobs(spark, 50, 4)
     rows = logistic.standardize(df).transform(df).orderBy("id").select("scaled").collect()
