@@ -18,6 +18,8 @@ BATCH_BYTES = "16m"
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every corpus operator wants: those of the package, and small Arrow batches."""
     configure(spark)
+    # The driver keeps the text of plans; those with tables of counters as literals are megabytes long.
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
@@ -38,6 +40,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+def released(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more: what was made from them is written itself."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def rows_mapped(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``work`` to the columns of each Arrow batch, given and returned as lists by name."""
     fields = _arrow_fields(schema)
@@ -97,6 +108,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     )
     links, before = staged(links, name), None
     while True:
+        last = links
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         larger = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -104,6 +116,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         lowest = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         links = staged(smaller.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), name)
+        released(last)
         state = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(u, v) >> 20)")).first()
         if state == before:
             break

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsalpha.llm.common import components, rows_mapped, staged
+from newsalpha.llm.common import components, released, rows_mapped, staged
 from newsalpha.llm.shingles import links, mix, shingle_set
 
 # Trees of the forest and values in a tree's order.
@@ -122,7 +122,9 @@ def candidates(signatures: DataFrame, width: int = WIDTH, least_depth: int = LEA
     pairs = found.where("a is not null and a <> b").select("a", "b")
     for some in across:
         pairs = pairs.unionByName(some.where("a <> b"))
-    return pairs.distinct()
+    pairs = staged(pairs.distinct(), "candidates")
+    released(found)
+    return pairs
 
 
 def near_duplicates(
@@ -164,8 +166,12 @@ def near_duplicates(
         "classes",
     )
     signatures = classes.select("node", "signature")
-    likely = staged(_likely(candidates(signatures), signatures, (percent - SLACK) / 100), "pairs")
-    alike = staged(_checked(likely, _texts(likely.select(F.explode(F.array("a", "b"))), source), words, percent), "links")
+    drawn = candidates(signatures)
+    likely = staged(_likely(drawn, signatures, (percent - SLACK) / 100), "pairs")
+    released(drawn)
+    texts = _texts(likely.select("a").union(likely.select("b")), source)
+    alike = staged(_checked(likely, texts, words, percent), "links")
+    released(likely, texts)
     found = _completed(alike, classes, source, words, percent)
     member = classes.select(*same, "node").join(found, "node", "left").select(
         *same, F.coalesce("component", "node").alias("component")
@@ -236,21 +242,25 @@ def _completed(alike: DataFrame, classes: DataFrame, source: DataFrame, words: i
     sides = (F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
     same = Window.partitionBy("token")
 
-    degrees = alike.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-    prefixes = _prefixes(classes, source, words, percent).join(degrees.hint("merge"), "node", "left")
-    # Groups are known per class, before its posts are spelled out.
+    degrees = alike.select("a").unionByName(alike.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree"))
     groups = components(alike, "groups")
-    grouped = prefixes.join(groups.hint("merge"), "node", "left").select(
-        "node", F.coalesce("component", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"), "size",
-        F.posexplode("prefix").alias("place", "token"),
+    # Groups are known per class, before its posts are spelled out.
+    known = classes.select("node", "n_shingles", "low").join(groups.hint("merge"), "node", "left").join(degrees.hint("merge"), "node", "left")
+    known = known.withColumns({"part": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))}).drop("component")
+    prefixes = staged(_prefixes(known, source, words, percent), "prefixes")
+    # A post that only probes has its node as a negative number: nothing but token, node and group is dealt out.
+    probing = (-1 - F.col("node")).alias("signed")
+    posts = prefixes.select("node", "part", "indexed", F.posexplode("prefix").alias("place", "token")).select(
+        "token", F.when(F.col("place") < F.col("indexed"), F.col("node")).otherwise(probing).alias("signed"), "part"
     )
     low, high = F.min("part").over(same), F.max("part").over(same)
+    shared = posts.withColumns({"low": low, "high": high, "most": F.max("signed").over(same)}).where("low < high and most >= 0")
+    few = staged(shared.select("token", F.greatest("signed", -1 - F.col("signed")).alias("node")), "shared")
+    place = F.expr("cast(array_position(prefix, token) - 1 as int)").alias("place")
+    placed = few.join(prefixes.hint("merge"), "node").select("token", "node", "size", place, "indexed", "degree", "part")
     hub = F.max(F.struct("degree", (-F.col("node")).alias("back"), "size", "place", "part")).over(same)
-    met = staged(
-        grouped.withColumns({"low": low, "high": high, "hub": hub}).where("low < high")
-        .select("token", "node", "size", "place", "part", "hub"),
-        "met",
-    )
+    met = staged(placed.withColumn("hub", hub).drop("degree"), "met")
+    released(few, prefixes)
     texts = _texts(met.select("node"), source)
     central = met.where("part <> hub.part").select(
         F.col("node").alias("a_node"), F.col("size").alias("a_size"), F.col("place").alias("a_place"),
@@ -262,38 +272,46 @@ def _completed(alike: DataFrame, classes: DataFrame, source: DataFrame, words: i
         alike = alike.unionByName(more)
         groups = components(alike, "groups")
     again = met.drop("part").join(groups.hint("merge"), "node", "left").select(
-        "token", "node", "size", "place", F.coalesce("component", "node").alias("part")
+        "token", "node", "size", "place", "indexed", F.coalesce("component", "node").alias("part")
     )
     apart = staged(again.withColumns({"low": low, "high": high}).where("low < high").drop("low", "high"), "apart")
+    released(met)
+    # The smaller set of a pair has the first token in common among its indexed ones.
     a, b = (apart.select("token", *(F.col(c).alias(f"{side}_{c}") for c in apart.columns if c != "token")) for side in "ab")
-    rest = a.join(b, "token").where(f"a_node < b_node and a_part <> b_part and {room}").select(*sides).distinct()
+    smaller = "(a_size < b_size or a_size = b_size and a_node < b_node)"
+    rest = a.where("a_place < a_indexed").join(b, "token").where(f"{smaller} and a_part <> b_part and {room}").select(*sides).distinct()
     rest = staged(rest.join(tried.hint("merge"), ["a", "b"], "left_anti"), "rest")
     more = staged(_checked(rest, texts, words, percent), "links")
+    released(apart, tried, rest, texts)
     return groups if more.isEmpty() else components(alike.unionByName(more), "groups")
 
 
 def _prefixes(classes: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, size, prefix) of every class: so many of its rarest shingles that a linked set has one of them too."""
+    """(node, part, degree, size, indexed, prefix) of every class: so many of its rarest shingles that a linked set has one too.
+
+    Of two linked sets the smaller one has the first common shingle among its first ``indexed`` ones, since the overlap is
+    then a larger share of it.
+    """
     levels = _rarity(source, words)
 
     def cut(columns: dict[str, list]) -> dict[str, list]:
         table = np.frombuffer(levels, dtype=np.uint8)
-        made: dict[str, list] = {name: [] for name in ("node", "n_shingles", "low", "size", "prefix")}
+        made: dict[str, list] = {name: [] for name in ("node", "n_shingles", "low", "size", "indexed", "prefix")}
         for node, text in zip(columns["doc_id"], columns["text"]):
             found = shingle_set(text, words)
             if node is None or not len(found):
                 continue
             length = len(found) - -(-percent * len(found) // 100) + 1
             order = np.lexsort((found, table[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:length]
-            values = (node, len(found), int(np.add.reduce(found).astype(np.int64)), len(found), found[order].astype(np.int64))
+            indexed = len(found) - -(-2 * percent * len(found) // (100 + percent)) + 1
+            values = (node, len(found), int(np.add.reduce(found).astype(np.int64)), len(found), indexed, found[order].astype(np.int64))
             for column, value in zip(made.values(), values):
                 column.append(value)
         return made
 
-    cuts = rows_mapped(source, cut, "node long, n_shingles long, low long, size int, prefix array<long>")
+    cuts = rows_mapped(source, cut, "node long, n_shingles long, low long, size int, indexed int, prefix array<long>")
     # Copies of a class have other ids than its node; rows that repeat the id and the text are dropped below.
-    firsts = classes.select("node", "n_shingles", "low").hint("merge")
-    return cuts.join(firsts, ["node", "n_shingles", "low"]).select("node", "size", "prefix")
+    return cuts.join(classes.hint("merge"), ["node", "n_shingles", "low"]).select("node", "part", "degree", "size", "indexed", "prefix")
 
 
 def _rarity(source: DataFrame, words: int) -> bytes:
