@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsalpha.llm.common import staged
+from newsalpha.llm.common import released, staged
 
 # Entries of a part's list of closest ones in the first pass; later passes make the lists shorter, to a half at least.
 LISTED = 8
@@ -259,19 +259,23 @@ def fit_codes(
         return work
 
     passed = _passed(source, schema, begin(books), parts, count, width)
-    measured: list[int] = []
+    measured, shifts = [], np.zeros((parts, count))
     for again in range(rounds):
         sums, done = _totals(passed, (parts, count, width + 1))
         measured.append(done)
         new = _renewed(books, sums)
         # Rounded up, as a bound may only become too low.
-        shifts = np.sqrt(((new - books) ** 2).sum(2)) * (1 + MARGIN)
-        books, rows = new, passed.where("whole is not null").select("vec_id", "label", "whole", "state")
+        shifts, books = np.sqrt(((new - books) ** 2).sum(2)) * (1 + MARGIN), new
         if again < rounds - 1:
-            passed = _passed(rows, schema, go_on(books, shifts), parts, count, width)
-        else:
-            coded = rows.mapInArrow(finish(books, shifts), CODED.format(**types))
-    return staged(coded, "coded"), books, measured[1:]
+            last, passed = passed, _passed(_states(passed), schema, go_on(books, shifts), parts, count, width)
+            released(last)
+    coded = staged(_states(passed).mapInArrow(finish(books, shifts), CODED.format(**types)), "coded")
+    released(passed)
+    return coded, books, measured[1:]
+
+
+def _states(passed: DataFrame) -> DataFrame:
+    return passed.where("whole is not null").select("vec_id", "label", "whole", "state")
 
 
 def fingerprint(books: np.ndarray) -> str:
