@@ -23,7 +23,11 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels teach: those that are undetermined or a guess go."""
+    """Documents in a language that the labels teach: those that are undetermined or a guess go.
+
+    Null and empty texts and texts without a letter are undetermined. Rows of one id are judged by their own text; a null id is
+    never held out. Without any labelled row all are undetermined. Columns of any name stay as they are.
+    """
     common.prepare(spark)
     model = language.fit(docs.where(~language.held_out()))
     found = language.identify(_packed(docs), model, keep=["row"])
@@ -31,7 +35,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier line repeats; ``n_chars`` follows the text."""
+    """All documents, without the lines that an earlier line repeats; ``n_chars`` follows the text.
+
+    A null text stays null and keeps its ``n_chars``; an empty one stays empty. Documents go by id, null ids first; rows equal in id
+    and text are treated alike. Columns of any name stay as they are.
+    """
     common.prepare(spark)
     cleaned = lines.deduplicate_lines(_packed(docs), percent=80)
     values = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("long"), F.col("row.n_chars"))}
@@ -39,7 +47,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
+    """One document of each group of near-duplicates: that with the smallest id.
+
+    Null, empty and blank texts and rows without an id are in no group and stay. Rows that share an id stay or go together.
+    """
     common.prepare(spark)
     found = minhash.near_duplicates(docs, words=5, percent=80)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
@@ -47,14 +58,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts have none and stay; so does every row where the benchmark is empty. Each row is judged by its own text.
+    """
     common.prepare(spark)
     found = benchmark.contamination(_packed(docs).select("text", "row"), common.table(spark, sf_dir, "benchmark"), percent=80)
     return found.where(F.size("leaks") == 0).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens and digests of ids and decoded bytes, per document."""
+    """Number of tokens and digests of ids and decoded bytes, per document, in place of the text.
+
+    A null text counts as empty: no tokens, digests of nothing. Repeated rows give repeated rows; a column with the name of a new
+    one is replaced.
+    """
     common.prepare(spark)
     kept = [c for c in docs.columns if c != "text"]
     return bpe.encode(docs, *bpe.public_tokenizer(), output="digests", keep=kept)
