@@ -20,7 +20,7 @@ from newsalpha.operators.logistic import train_logistic
 from newsalpha.operators.sampling import sample_n
 from newsalpha.schemas import SCHEMAS
 from newsalpha.session import stage
-from newsalpha.sources.writers import append_dataset, stored_or_none
+from newsalpha.sources.writers import replace_partitions, stored_or_none
 
 
 def rolling_windows(labeled: DataFrame, train_years: int = TRAIN_YEARS, val_years: int = VALIDATION_YEARS, day: str = "article_date") -> DataFrame:
@@ -166,20 +166,17 @@ def years_to_run(usable: DataFrame, done: DataFrame, model: str) -> DataFrame:
 def rolling_resume(labeled: DataFrame, embeddings: DataFrame, folder: str, model: str = "model", **options) -> RollingResult:
     """Run the years that are missing from ``folder`` and return all stored results.
 
-    Predictions are stored before the metrics of the same run; a year counts as done by
-    its metrics, so a run that stops in between is repeated and not lost.
+    Both tables have a partition per model and year, which is replaced as a whole. Predictions are stored before
+    the metrics, and a year counts as done by its metrics. So a run that stops anywhere, in the middle of a write
+    too, is repeated for the years that are not done and leaves the same rows as one that did not stop.
     """
     spark = labeled.sparkSession
     metrics_path, predictions_path = f"{folder}/metrics", f"{folder}/predictions"
     done = stored_or_none(spark, metrics_path)
     skip = [] if done is None else [r["oos_year"] for r in done.where(F.col("model") == model).select("oos_year").toLocalIterator()]
     fresh = rolling_oos(labeled, embeddings, model, skip_years=skip, **options)
-    stored = stored_or_none(spark, predictions_path)
-    todo = fresh.predictions
-    if stored is not None:
-        todo = todo.join(stored.select("model", "oos_year").distinct(), ["model", "oos_year"], "left_anti")
-    append_dataset(todo, predictions_path, ("model", "oos_year"))
-    append_dataset(fresh.metrics, metrics_path)
+    replace_partitions(fresh.predictions, predictions_path, ("model", "oos_year"))
+    replace_partitions(fresh.metrics, metrics_path, ("model", "oos_year"))
     # With the declared schemas, since a run without a usable window leaves folders without files.
     return RollingResult(
         spark.read.schema(SCHEMAS["rolling_metrics"]).parquet(metrics_path),

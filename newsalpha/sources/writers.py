@@ -30,6 +30,12 @@ def append_dataset(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Write the partitions that ``df`` has rows for, each in place of what it held; others stay. Safe to run again."""
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -164,6 +164,27 @@ def test_resume_adds_missing_years_and_keeps_stored_ones(spark, tmp_path):
     assert again.predictions.count() == 120 and again.metrics.count() == 2
 
 
+def test_a_run_that_was_stopped_is_repeated(spark, tmp_path, monkeypatch):
+    """Stopped between its two writes, and with a partition of which only a part was written."""
+    labeled, vectors = yearly(spark, range(2000, 2006))
+    whole = rolling.rolling_resume(labeled, vectors, str(tmp_path / "whole"), "m", c_grid=(1.0,))
+    folder, write = str(tmp_path / "stopped"), rolling.replace_partitions
+
+    def stopping(df, path, keys):
+        if path.endswith("metrics"):
+            raise KeyboardInterrupt
+        write(df.where("oos_year = 2004 or rp_story_id % 2 = 0"), path, keys)
+
+    monkeypatch.setattr(rolling, "replace_partitions", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        rolling.rolling_resume(labeled, vectors, folder, "m", c_grid=(1.0,))
+    monkeypatch.setattr(rolling, "replace_partitions", write)
+    again = rolling.rolling_resume(labeled, vectors, folder, "m", c_grid=(1.0,))
+    for one, other in ((whole.predictions, again.predictions), (whole.metrics, again.metrics)):
+        rows = [sorted([round(v, 9) if isinstance(v, float) else v for v in r] for r in df.collect()) for df in (one, other)]
+        assert rows[0] == rows[1] and len(rows[0]) > 1
+
+
 def test_only_models_with_vectors_run(spark, tmp_path):
     labeled, vectors = yearly(spark, range(2000, 2005))
     vectors.write.parquet(str(tmp_path / "embeddings_one"))
