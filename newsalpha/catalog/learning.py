@@ -463,6 +463,27 @@ def run_models(t):
     return coverage(result, "model")
 
 
+@query(f"WITH {ROLLED} SELECT rp_story_id, CAST(oos_year AS INT) AS oos_year, round(p_up, 3) AS p_up FROM rolled")
+def rolling_resume_one_feature(t):
+    """The values of a resumed run: those of a run in one go, which SQL can repeat on vectors of one entry."""
+    folder = new_folder(t.spark, "rolling")
+    labeled, vectors = t("fx_labeled"), first_entries(t)
+    last = labeled.agg(F.max("article_date")).first()[0]
+    rolling.rolling_resume(labeled.where(F.col("article_date") < f"{last.year}-01-01"), vectors, folder)
+    found = rolling.rolling_resume(labeled, vectors, folder).predictions
+    return found.select("rp_story_id", "oos_year", F.round("p_up", 3).alias("p_up"))
+
+
+@query(f"""WITH {ROLLED}
+SELECT model, rp_story_id, CAST(oos_year AS INT) AS oos_year, round(p_up, 3) AS p_up FROM rolled CROSS JOIN (VALUES ('negated'), ('plain')) m(model)""")
+def run_models_one_feature(t):
+    """Two models of one entry; with the sign of a scaled entry its weight turns, so both give the same values."""
+    plain = first_entries(t)
+    negated = plain.withColumn("embedding", F.transform("embedding", lambda x: -x))
+    found = rolling.run_models(t("fx_labeled"), {"plain": plain, "negated": negated}).predictions
+    return found.select("model", "rp_story_id", "oos_year", F.round("p_up", 3).alias("p_up"))
+
+
 def forward_sql(k):
     return " * ".join(f"(1 + lead(ret, {i}) OVER w)" for i in range(1, k + 1)) + " - 1"
 
