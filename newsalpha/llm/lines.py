@@ -6,7 +6,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsalpha.llm.common import staged
+from newsalpha.llm.common import released, staged
 
 # Counters of the rarity of tokens, a power of two, and the bits of a token's number below its rarity.
 COUNTERS = 1 << 18
@@ -138,17 +138,21 @@ def _later(classes: DataFrame, rows: DataFrame, rarity: bytes, percent: int) ->
     the pairs of a group are not spelled out.
     """
     likely = staged(_first_candidates(classes, percent), "likely")
-    settled = staged(_verified(likely, staged(_sets_of(likely, classes, rows, rarity), "sets"), percent), "settled")
+    sets = staged(_sets_of(likely, classes, rows, rarity), "sets")
+    settled = staged(_verified(likely, sets, percent), "settled")
+    released(likely, sets)
     flags = settled.select(F.col("b_id").alias("id"), F.lit(True).alias("flag")).hint("merge")
     flagged = classes.join(flags, "id", "left").withColumn("settled", F.coalesce("flag", F.lit(False)))
     pairs = staged(_candidates(flagged, percent), "candidates")
-    rest = _verified(pairs, staged(_sets_of(pairs, classes, rows, rarity), "sets"), percent)
-    return settled.unionByName(rest).select("b_first.*").distinct()
+    sets = staged(_sets_of(pairs, classes, rows, rarity), "sets")
+    later = staged(settled.unionByName(_verified(pairs, sets, percent)).select("b_first.*").distinct(), "later")
+    released(settled, pairs, sets)
+    return later
 
 
 def _sets_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, rarity: bytes) -> DataFrame:
     """(id, first, tokens) of the classes that occur in pairs, from the texts."""
-    named = pairs.select(F.explode(F.array("a_id", "b_id")).alias("id")).distinct()
+    named = pairs.select(F.col("a_id").alias("id")).distinct().union(pairs.select("b_id").distinct()).distinct()
     wanted = (
         classes.join(named, "id").select("first.*", "id")
         .groupBy("doc", "version").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
@@ -211,6 +215,8 @@ def deduplicate_lines(
     classes = staged(_classes(rows, rarity, percent), "lines")
     later = _later(classes, rows, rarity, percent)
     stay = _match(classes.select("first.*"), later, LINE, "left_anti").groupBy("doc", "version").agg(F.collect_list("line").alias("stay"))
+    stay = staged(stay, "stay")
+    released(classes, later)
     made = _match(rows, stay, ("doc", "version"), "left").select(
         "row", "text",
         # Lines are split once per text; the lines that stay are taken by their places.
