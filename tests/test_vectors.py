@@ -192,6 +192,20 @@ def test_tfidf_svd_matches_numpy(frame):
     assert np.allclose(found, weights @ model.basis, atol=1e-9)
 
 
+def test_words_are_met_once(frame):
+    """One join and no second count for the weights, whether or not an id repeats."""
+    df = frame([(1, "b aa b Å b"), (2, "aa bb aa"), (3, None), (4, "!"), (5, "cc aa bb bb")], "id int, text string")
+    entries = decomposition.fit_tfidf(df, "text").entries(df, "id", "text")
+    assert entries._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    weights = {(r.id, r.word): r.weight for r in entries.collect()}
+    assert weights.keys() == {(1, "aa"), (2, "aa"), (2, "bb"), (5, "cc"), (5, "aa"), (5, "bb")} and weights[1, "aa"] == 1
+    split = frame([(1, "aa bb"), (1, "bb cc"), (None, "aa"), (None, "cc cc")], "id int, text string")
+    counts = {(r.id, r.word): r.n for r in decomposition.word_counts(split, "text", "id").collect()}
+    assert counts == {(1, "aa"): 1, (1, "bb"): 2, (1, "cc"): 1, (None, "aa"): 1, (None, "cc"): 2}
+    found = {(r.id, r.word): r.weight for r in decomposition.fit_tfidf(split, "text").entries(split, "id", "text").collect()}
+    assert found.keys() == counts.keys() and sum(w * w for (i, _), w in found.items() if i is None) == pytest.approx(1)
+
+
 def test_direction_errors_tell_wrong_directions(frame):
     df = frame([(i, " ".join(f"word{k}" for k in range(i % 7, i % 7 + i % 5 + 2))) for i in range(30)], "id int, text string")
     model = decomposition.fit_tfidf_svd(df, "text", 3)
