@@ -206,6 +206,20 @@ def test_words_are_met_once(frame):
     assert found.keys() == counts.keys() and sum(w * w for (i, _), w in found.items() if i is None) == pytest.approx(1)
 
 
+def test_left_vectors_come_from_tables(frame, spark):
+    """More columns than a step adds, words of one row, repeated values and rows that nothing meets; as NumPy finds them."""
+    rng = np.random.default_rng(7)
+    dense = np.where(rng.random((120, 60)) < 0.1, rng.random((120, 60)), 0) * np.linspace(3, 0.1, 60)
+    dense = np.hstack([np.vstack([dense, np.zeros((24, 60))]), np.vstack([np.zeros((120, 24)), 2 * np.eye(24)])])
+    dense = dense[dense.any(axis=1)]
+    df = (dense > 0).sum(0)
+    entries = frame([(int(i), int(j), int(df[j]), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))], "row long, number long, df long, weight double")
+    left, values = decomposition.left_vectors(entries, 40)
+    assert np.allclose(values, np.linalg.svd(dense, compute_uv=False)[:40])
+    u = np.array([r.u for r in left.orderBy("row").collect()])
+    assert np.allclose(u.T @ u, np.eye(40), atol=1e-9) and np.allclose(dense @ (dense.T @ u), u * values**2, atol=1e-6)
+
+
 def test_direction_errors_tell_wrong_directions(frame):
     df = frame([(i, " ".join(f"word{k}" for k in range(i % 7, i % 7 + i % 5 + 2))) for i in range(30)], "id int, text string")
     model = decomposition.fit_tfidf_svd(df, "text", 3)
