@@ -1,20 +1,27 @@
-"""Standardization, L2 logistic regression and ridge regression with Spark ML."""
+"""Standardization, L2 logistic regression and ridge regression."""
 
 import math
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseVector, Vectors
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsalpha.constants import C_GRID, RIDGE_GRID
+from newsalpha.operators.sums import matrix, summed
+
+# Largest entry of the mean loss's gradient at which a logistic fit ends, and passes over the rows it may take.
+GRADIENT = 1e-9
+PASSES = 1000
+# Steps back that a fit's next direction is formed from.
+MEMORY = 10
 
 
 def standardize(train: DataFrame, features: str = "features", into: str = "scaled", n: int | None = None) -> PipelineModel:
@@ -32,18 +39,33 @@ def standardize(train: DataFrame, features: str = "features", into: str = "scale
     return PipelineModel([scaler, stretch])
 
 
-def positive_probability(model: LogisticRegressionModel, df: DataFrame, into: str) -> DataFrame:
-    """Add P(label = 1) and drop what the model leaves behind."""
-    scored = model.transform(df)
-    return scored.withColumn(into, vector_to_array(model.getProbabilityCol())[1]).drop(
-        model.getRawPredictionCol(), model.getProbabilityCol(), model.getPredictionCol()
-    )
+@dataclass
+class LinearModel:
+    """A weight per place of a vector, and an intercept."""
+
+    coefficients: DenseVector
+    intercept: float
+
+    def score(self, vectors: Column) -> Column:
+        """The intercept plus the weighted sum of each vector's entries."""
+        weights, intercept = self.coefficients.toArray(), self.intercept
+
+        @F.pandas_udf("double")
+        def weighted(rows: pd.Series) -> pd.Series:
+            return pd.Series(np.stack(rows.to_numpy()) @ weights + intercept if len(rows) else [], dtype=float)
+
+        return weighted(vector_to_array(vectors))
+
+
+def positive_probability(model: LinearModel, df: DataFrame, into: str) -> DataFrame:
+    """Add P(label = 1) of the column ``scaled``."""
+    return df.withColumn(into, 1 / (1 + F.exp(-model.score(F.col("scaled")))))
 
 
 @dataclass
 class FittedLogistic:
     scaler: PipelineModel
-    model: LogisticRegressionModel
+    model: LinearModel
     best_c: float
     val_accuracy: float
     n_train: int
@@ -54,81 +76,179 @@ class FittedLogistic:
         return positive_probability(self.model, self.scaler.transform(df), "p_up").drop("centred", "scaled")
 
 
-def train_logistic(train: DataFrame, validation: DataFrame, c_grid: Iterable[float] = tuple(C_GRID), parallelism: int = 5) -> FittedLogistic:
+def train_logistic(train: DataFrame, validation: DataFrame, c_grid: Iterable[float] = tuple(C_GRID)) -> FittedLogistic:
     """One fit per C on the scaled training rows; the best validation accuracy wins.
 
-    The objective C * sum(loss) + |w|^2 / 2 is Spark's with ``regParam = 1 / (C n)``. The
-    fits share one cached training set and run side by side; one pass over the
-    validation rows rates all of them. Equal accuracies go to the earlier C.
+    The objective is C * sum(loss) + |w|^2 / 2. All fits go forward together: a pass over the rows gives loss and gradient
+    at the next place of every fit, from which the driver takes a quasi-Newton step. One pass over the
+    validation rows rates all of them. Equal accuracies go to the earlier C. With one label only, the
+    weights are zero and the intercept is infinite.
     """
     grid = list(c_grid)
     n = train.count()
     scaler = standardize(train, n=n)
-    scaled = scaler.transform(train).select("label", "scaled").persist()
+    scaled = scaler.transform(train).select(F.col("label").cast("double").alias("label"), vector_to_array("scaled").alias("x")).persist()
     try:
-        estimator = LogisticRegression(
-            featuresCol="scaled", elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-6
-        )
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(lambda c: estimator.copy({estimator.regParam: 1 / (c * n)}).fit(scaled), grid))
+        models = _logistic_fits(scaled, n, len(scaler.stages[0].mean), [1 / (c * n) for c in grid])
     finally:
         scaled.unpersist()
-    rated = scaler.transform(validation).select("label", "scaled")
-    for i, model in enumerate(models):
-        rated = positive_probability(model, rated, f"p_{i}")
-    hits = rated.agg(
-        F.count("*").alias("n"),
-        *(
-            F.avg(((F.col(f"p_{i}") > 0.5) == (F.col("label") == 1)).cast("int")).alias(f"accuracy_{i}")
-            for i in range(len(models))
-        ),
-    ).first()
-    accuracies = [hits[f"accuracy_{i}"] for i in range(len(models))]
-    best = max(range(len(models)), key=lambda i: (accuracies[i], -i))
-    return FittedLogistic(scaler, models[best], grid[best], accuracies[best], n, hits["n"])
+    weights = np.array([m.coefficients.toArray() for m in models]).reshape(len(models), -1)
+    intercepts = np.array([m.intercept for m in models])
+
+    def hits(part: pa.RecordBatch) -> np.ndarray:
+        up = matrix(part, "x") @ weights.T + intercepts > 0
+        return np.r_[part.num_rows, (up == (part.column("label").to_numpy() == 1)[:, None]).sum(axis=0)]
+
+    rows = scaler.transform(validation).select(F.col("label").cast("double").alias("label"), vector_to_array("scaled").alias("x"))
+    count, *right = summed(rows, hits, 1 + len(models))
+    accuracies = [float(r / count) if count else None for r in right]
+    best = max(range(len(models)), key=lambda i: (accuracies[i] or 0.0, -i))
+    return FittedLogistic(scaler, models[best], grid[best], accuracies[best], n, int(count))
+
+
+def _logistic_fits(rows: DataFrame, n: int, dims: int, penalties: list[float]) -> list[LinearModel]:
+    """The minimum of mean loss + penalty * |w|^2 / 2 for each penalty, over rows (label, x).
+
+    L-BFGS, whose first guess of the curvature is the bound x'x / 4 of the loss's. That is summed in one pass, together with
+    the number of positive labels.
+    """
+
+    def moments(part: pa.RecordBatch) -> np.ndarray:
+        x = np.c_[matrix(part, "x"), np.ones(part.num_rows)]
+        return np.r_[(x.T @ x).ravel(), part.column("label").to_numpy().sum()]
+
+    *square, positive = summed(rows, moments, (dims + 1) ** 2 + 1)
+    if positive in (0, n):
+        return [LinearModel(Vectors.dense(np.zeros(dims)), math.inf if positive else -math.inf) for _ in penalties]
+    curvature = np.reshape(square, (dims + 1, dims + 1)) / (4 * n)
+    penalized = np.r_[np.ones(dims), 0.0]
+
+    def losses(places: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
+        """Mean loss and its gradient at each place."""
+        at = np.array(places)
+
+        def work(part: pa.RecordBatch) -> np.ndarray:
+            x, y = np.c_[matrix(part, "x"), np.ones(part.num_rows)], part.column("label").to_numpy()[:, None]
+            score = x @ at.T
+            error = 1 / (1 + np.exp(-np.clip(score, -700, 700))) - y
+            return np.c_[(np.logaddexp(0, score) - y * score).sum(axis=0), error.T @ x].ravel()
+
+        found = summed(rows, work, at.shape[0] * (dims + 2)).reshape(len(at), dims + 2) / n
+        return [(row[0], row[1:]) for row in found]
+
+    start = np.r_[np.zeros(dims), math.log(positive / (n - positive))]
+    fits = [_Descent(start, penalty * penalized, curvature) for penalty in penalties]
+    for _ in range(PASSES):
+        open_ = [fit for fit in fits if not fit.done]
+        if not open_:
+            break
+        for fit, (loss, gradient) in zip(open_, losses([fit.trial for fit in open_])):
+            fit.step(loss, gradient)
+    return [LinearModel(Vectors.dense(fit.place[:-1]), float(fit.place[-1])) for fit in fits]
+
+
+class _Descent:
+    """Quasi-Newton steps of one fit; ``trial`` is where it wants loss and gradient next."""
+
+    def __init__(self, start: np.ndarray, penalty: np.ndarray, curvature: np.ndarray):
+        self.penalty, self.trial, self.done = penalty, start, False
+        guess = curvature + np.diag(penalty)
+        self.inverse = np.linalg.pinv((guess + guess.T) / 2, hermitian=True)
+        self.place, self.value, self.gradient, self.pairs, self.length = start, math.inf, None, [], 1.0
+
+    def step(self, loss: float, gradient: np.ndarray) -> None:
+        value = loss + (self.penalty * self.trial**2).sum() / 2
+        gradient = gradient + self.penalty * self.trial
+        if self.gradient is not None:
+            moved = self.trial - self.place
+            slack = 1e-14 * abs(self.value)
+            if not value <= self.value + 1e-4 * moved @ self.gradient + slack:
+                self.length /= 2
+                self.trial = self.place + moved / 2
+                # Not to be told from the place itself any more.
+                self.done = self.length < 1e-10
+                return
+            change = gradient - self.gradient
+            if moved @ change > 1e-300:
+                self.pairs = [*self.pairs, (moved, change)][-MEMORY:]
+            self.done = not moved.any()
+        self.place, self.value, self.gradient, self.length = self.trial, value, gradient, 1.0
+        self.done = self.done or np.abs(gradient).max() <= GRADIENT
+        self.trial = self.place - self._solved(gradient)
+
+    def _solved(self, gradient: np.ndarray) -> np.ndarray:
+        """The gradient times the inverse curvature, as the last steps tell it."""
+        left, shares = gradient.copy(), []
+        for moved, change in reversed(self.pairs):
+            share = moved @ left / (moved @ change)
+            left -= share * change
+            shares.append(share)
+        made = self.inverse @ left
+        if self.pairs:
+            moved, change = self.pairs[-1]
+            made *= (moved @ change) / (change @ self.inverse @ change)
+        for (moved, change), share in zip(self.pairs, reversed(shares)):
+            made += moved * (share - change @ made / (moved @ change))
+        return made
 
 
 @dataclass
 class FittedRidge:
-    model: LinearRegressionModel
+    model: LinearModel
     best_alpha: float
     val_mse: float
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df).withColumnRenamed("prediction", "predicted_return")
+        return df.withColumn("predicted_return", self.model.score(F.col("features")))
 
 
-def train_ridge(train: DataFrame, validation: DataFrame, target: str = "ret", grid: Iterable[float] = tuple(RIDGE_GRID), mean_loss: bool = True, parallelism: int = 5) -> FittedRidge:
+def train_ridge(train: DataFrame, validation: DataFrame, target: str = "ret", grid: Iterable[float] = tuple(RIDGE_GRID), mean_loss: bool = True) -> FittedRidge:
     """Ridge of a return on vectors, the penalty chosen by validation error.
 
-    The normal-equation solver sees the target divided by its population deviation, hence
-    the factor on the penalty. ``mean_loss`` means mean(error^2) + alpha |w|^2; otherwise
-    sum(error^2) + alpha |w|^2.
+    ``mean_loss`` means mean(error^2) + alpha |w|^2; otherwise sum(error^2) + alpha |w|^2. Two passes over the training rows give
+    the means and the moments about them, from which the weights for every alpha follow; one pass over the validation rows
+    rates all of them. Rows without a target take no part.
     """
     alphas = list(grid)
-    rows = train.select(target, "features").where(F.col(target).isNotNull()).persist()
+    train, validation = (
+        df.where(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("y"), vector_to_array("features").alias("x")) for df in (train, validation)
+    )
+    train = train.persist()
     try:
-        n, spread = rows.agg(F.count(target), F.stddev_pop(target)).first()
-        estimator = LinearRegression(
-            featuresCol="features", labelCol=target, elasticNetParam=0.0, standardization=False, solver="normal"
-        )
+        dims = train.select(F.size("x")).first()[0]
 
-        def fit(alpha: float) -> LinearRegressionModel:
-            penalty = (alpha if mean_loss else alpha / n) * spread
-            return estimator.copy({estimator.regParam: penalty}).fit(rows)
+        def rows(part: pa.RecordBatch) -> np.ndarray:
+            return np.c_[matrix(part, "x"), part.column("y").to_numpy()]
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(fit, alphas))
+        n, *totals = summed(train, lambda part: np.r_[part.num_rows, rows(part).sum(axis=0)], dims + 2)
+        means = np.array(totals) / n
+        square = summed(train, _squares(rows, means), (dims + 1) ** 2).reshape(dims + 1, dims + 1) / n
     finally:
-        rows.unpersist()
-    rated = validation.select(target, "features")
-    for i, model in enumerate(models):
-        rated = model.copy({model.predictionCol: f"r_{i}"}).transform(rated)
-    errors = rated.agg(
-        *(F.avg((F.col(f"r_{i}") - F.col(target)) ** 2).alias(f"mse_{i}") for i in range(len(models)))
-    ).first()
-    best = min(range(len(models)), key=lambda i: (errors[f"mse_{i}"], i))
-    return FittedRidge(models[best], alphas[best], errors[f"mse_{best}"])
+        train.unpersist()
+    models = []
+    for alpha in alphas:
+        weights = np.linalg.lstsq(square[:-1, :-1] + (alpha if mean_loss else alpha / n) * np.eye(dims), square[:-1, -1], rcond=None)[0]
+        models.append(LinearModel(Vectors.dense(weights), float(means[-1] - means[:-1] @ weights)))
+    weights, intercepts = np.array([m.coefficients.toArray() for m in models]), np.array([m.intercept for m in models])
+
+    def errors(part: pa.RecordBatch) -> np.ndarray:
+        gaps = matrix(part, "x") @ weights.T + intercepts - part.column("y").to_numpy()[:, None]
+        return np.r_[part.num_rows, (gaps**2).sum(axis=0)]
+
+    count, *squared = summed(validation, errors, 1 + len(models))
+    mse = [float(e / count) if count else math.nan for e in squared]
+    best = min(range(len(models)), key=lambda i: (mse[i], i))
+    return FittedRidge(models[best], alphas[best], mse[best])
+
+
+def _squares(rows: Callable[[pa.RecordBatch], np.ndarray], means: np.ndarray) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """Products of the columns about their means."""
+
+    def work(part: pa.RecordBatch) -> np.ndarray:
+        about = rows(part) - means
+        return (about.T @ about).ravel()
+
+    return work
 
 
 def logistic_gradient(fitted: FittedLogistic, train: DataFrame) -> DataFrame:
