@@ -17,6 +17,8 @@ from newsalpha.functions.vectors import as_doubles, l2_normalize
 from newsalpha.sources.writers import append_dataset, stored_or_none
 
 BATCH_SIZE = 128
+# Chunks of a text that one row holds for a model.
+CHUNKS = 64
 # Texts of one task of a model.
 ROWS_PER_TASK = 50_000
 
@@ -150,17 +152,41 @@ def mean_pool(tokens: DataFrame, key: str, mask: str = "attention_mask", vector:
 def chunk_embed_average(texts: DataFrame, key: str, column: str, make: Callable[[], Embedder] = HashingEmbedder, chunk_words: int = 64) -> DataFrame:
     """Long texts: cut into chunks of words, embed each chunk, average per text.
 
-    The whole text is used. Chunks of one text spread over all tasks and are averaged with
-    partial sums.
+    The whole text is used. The tasks that read the texts cut them into rows of ``CHUNKS`` chunks, embed these and send on the mean
+    of a row's vectors; means of one text are averaged by their chunks. Neither chunks nor their vectors are shuffled.
     """
     words = F.filter(F.split(F.coalesce(column, F.lit("")), r"(?U)\s+"), lambda w: w != "")
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(chunk_words))
-    chunks = (
-        texts.select(key, words.alias("words"))
-        .select(key, F.explode(F.transform(starts, lambda s: F.array_join(F.slice("words", s, F.lit(chunk_words)), " "))).alias("chunk"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(chunk_words * CHUNKS))
+    parts = texts.select(key, words.alias("words")).select(
+        key, F.explode(F.transform(starts, lambda s: F.array_join(F.slice("words", s, F.lit(chunk_words * CHUNKS)), " "))).alias("part")
     )
-    vectors = embed_texts(spread(chunks, key, "chunk"), "chunk", make).withColumn("attention_mask", F.lit(1))
-    return mean_pool(vectors, key)
+    name = hashlib.md5(cloudpickle.dumps(make)).hexdigest()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of(name, make)
+        for batch in batches:
+            for start in range(0, batch.num_rows, BATCH_SIZE):
+                piece = batch.slice(start, BATCH_SIZE)
+                chunks, owner = [], []
+                for row, text in enumerate(piece.column("part").to_pylist()):
+                    split = text.split(" ")
+                    for at in range(0, len(split), chunk_words):
+                        chunks.append(" ".join(split[at : at + chunk_words]))
+                        owner.append(row)
+                first = np.searchsorted(owner, np.arange(piece.num_rows))
+                vectors = np.concatenate([
+                    np.asarray(model.encode(chunks[i : i + BATCH_SIZE]), dtype=np.float32) for i in range(0, len(chunks), BATCH_SIZE)
+                ])
+                counts = np.diff(np.r_[first, len(chunks)])
+                means = np.add.reduceat(vectors, first, axis=0, dtype=np.float64) / counts[:, None]
+                offsets = pa.array(np.arange(piece.num_rows + 1, dtype=np.int32) * means.shape[1])
+                lists = pa.ListArray.from_arrays(offsets, pa.array(means.ravel()))
+                yield pa.RecordBatch.from_arrays([piece.column(key), lists, pa.array(counts.astype(np.float64))], names=[key, "mean", "chunks"])
+
+    means = parts.mapInArrow(add, f"`{key}` {texts.schema[key].dataType.simpleString()}, mean array<double>, chunks double")
+    # Parts of one text meet as means that are weighted by their chunks.
+    whole = means.select(key, array_to_vector("mean").alias("v"), "chunks").groupBy(key).agg(Summarizer.mean(F.col("v"), F.col("chunks")).alias("m"))
+    return whole.select(key, vector_to_array("m").alias("embedding"))
 
 
 def token_counts(texts: DataFrame, column: str, count: Callable[[list[str]], list[int]] | None = None, into: str = "tokens") -> DataFrame:

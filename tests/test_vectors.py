@@ -157,6 +157,21 @@ def test_long_texts_are_read_to_the_end(frame):
     assert not any(found[3])
 
 
+def test_vectors_of_chunks_are_not_shuffled(frame):
+    """Texts of more chunks than a row holds, repeated and null keys; the model's vectors meet before the only shuffle."""
+    long = " ".join(f"w{i}" for i in range(1000))
+    df = frame([(1, long), (1, "a b c"), (None, "x"), (None, None), (2, " \u2003 ")], "id int, text string")
+    model, make = embedding.HashingEmbedder(16), partial(embedding.HashingEmbedder, 16)
+    found = embedding.chunk_embed_average(df, "id", "text", make, chunk_words=4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and plan.count("Aggregate") == 1
+    rows = {r.id: r.embedding for r in found.collect()}
+    split = long.split()
+    chunks = [" ".join(split[i : i + 4]) for i in range(0, 1000, 4)] + ["a b c"]
+    assert np.allclose(rows[1], model.encode(chunks).astype(float).mean(axis=0), atol=1e-6)
+    assert np.allclose(rows[None], model.encode(["x", ""]).astype(float).mean(axis=0)) and not any(rows[2])
+
+
 def test_tokenizer_gets_whole_texts(frame):
     df = frame([("a b c",), (None,), ("x" * 5000,)], "text string")
     rows = embedding.token_counts(df, "text", lambda texts: [len(t) for t in texts]).collect()
