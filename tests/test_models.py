@@ -83,6 +83,22 @@ def test_ridge_matches_the_closed_form(spark, mean_loss):
     assert "predicted_return" in best.predict(df).columns
 
 
+def test_all_penalties_share_their_passes(spark, monkeypatch):
+    """Exact fits in few passes over the rows, whatever the number of penalties; one label only gives a certain answer."""
+    df, x, y = blobs(spark, 300, 8, gap=0.3)
+    passes, summed = [], logistic.summed
+    monkeypatch.setattr(logistic, "summed", lambda *args: passes.append(1) or summed(*args))
+    fitted = logistic.train_logistic(df, df, [1e-4, 1e-2, 1.0])
+    assert len(passes) < 40
+    rows = [r.gradient for r in logistic.logistic_gradient(fitted, df).collect()]
+    assert max(map(abs, rows)) < 1e-8
+    passes.clear()
+    logistic.train_ridge(df.withColumn("ret", F.col("label") + F.col("id")), df.withColumn("ret", F.col("label")))
+    assert len(passes) == 3
+    ones = logistic.train_logistic(df.where("label = 1"), df, [1.0])
+    assert {r.p_up for r in ones.predict_proba(df).collect()} == {1.0} and ones.val_accuracy == 0.5
+
+
 def yearly(spark, years, per_year=60, dims=4, seed=6):
     rng = np.random.default_rng(seed)
     rows, vectors, story = [], [], 0
