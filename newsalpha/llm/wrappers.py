@@ -1,16 +1,21 @@
-"""Main text of web pages by wrappers: union-free regular expressions inferred from pages of one host."""
+"""Main text of web pages by wrappers: union-free regular expressions inferred from pages of one template of a host."""
 
+import hashlib
 import html as entities
 import json
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsalpha.llm.common import rows_mapped
+from newsalpha.llm.common import columns_added, rows_mapped
 
-# Pages of a host that its wrapper is inferred from.
-SAMPLE = 8
+# Parts that the shapes of one template are aligned in, before the parts are aligned with each other.
+PARTS = 64
+# Characters of a text that a wrapper keeps; a longer one stands as its digest.
+SHORT = 48
 # Elements that are open at once; what is nested deeper is read as if it stood side by side.
 DEPTH = 150
 # Items of one element in a wrapper.
@@ -143,12 +148,16 @@ def wrap(element: Element) -> list:
         if isinstance(child, str):
             text = " ".join(entities.unescape(child).split())
             if text:
-                items.append(["=", text])
+                items.append(["=", text if len(text) <= SHORT else _digest(text)])
         else:
             items.append([child.symbol, wrap(child), "1"])
     return fold(items)
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _key(item: list) -> str:
     return "#" if item[0] in ("#", "=") else item[0]
 
@@ -183,6 +192,8 @@ def align(a: list, b: list) -> list:
     """Align two token streams; what only one of them has becomes optional."""
     if a == b:
         return a
+    if list(map(_key, a)) == list(map(_key, b)):
+        return [unite(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -219,25 +230,31 @@ def main_path(wrapper: list, pages: int) -> list[str]:
     """Symbols from the page down to the element that holds the article.
 
     That is the first element marked as article or main part, the innermost one if all marked ones are
-    nested. Without one it is the innermost container of all slots that are not in foreign elements; in the
-    wrapper of a single page every text counts as a slot.
+    nested. Without one it is the innermost container of all slots that are not in foreign elements; a text
+    that not all pages have counts as a slot. In the wrapper of a single page, and in one without any slot,
+    every text counts as one.
     """
     marked: list[list[str]] = []
     slots: list[list[str]] = []
+    texts: list[list[str]] = []
 
-    def walk(items: list, path: list[str]) -> None:
+    def walk(items: list, path: list[str], optional: bool) -> None:
         for item in items:
-            if item[0] == "#" or item[0] == "=" and pages == 1:
-                slots.append(path)
-            elif _key(item) != "#" and "!" not in item[0]:
+            if _key(item) == "#":
+                texts.append(path)
+                if item[0] == "#" or optional:
+                    slots.append(path)
+            elif "!" not in item[0]:
                 if item[0].endswith("*"):
                     marked.append([*path, item[0]])
-                walk(item[1], [*path, item[0]])
+                walk(item[1], [*path, item[0]], optional or item[2] in "?*")
 
-    walk(wrapper, [])
+    walk(wrapper, [], False)
     if marked:
         nested = all(path[: len(marked[0])] == marked[0] for path in marked)
         return max(marked, key=len) if nested else marked[0]
+    if pages == 1 or not slots:
+        slots = texts
     shared = slots[0] if slots else []
     for path in slots:
         shared = shared[: next((k for k, (x, y) in enumerate(zip(shared, path)) if x != y), min(len(shared), len(path)))]
@@ -246,6 +263,28 @@ def main_path(wrapper: list, pages: int) -> list[str]:
     return shared
 
 
+def template(page: Element, own: list) -> str:
+    """Digest of what pages of one template share: where the page's own wrapper finds the article, and all its
+    containers that are not foreign, each named by the way to it, however often it occurs."""
+    ways: set[str] = set()
+
+    def walk(element: Element, way: str) -> None:
+        for child in element.children:
+            if not isinstance(child, str) and not child.foreign:
+                to = f"{way}/{child.symbol}"
+                if child.name in CONTAINERS or child.marks:
+                    ways.add(to)
+                walk(child, to)
+
+    walk(page, "")
+    return _digest("\n".join([" ".join(main_path(own, 1)), *sorted(ways)]))
+
+
+def _shape(items: list) -> list:
+    """A wrapper without its texts."""
+    return ["#" if _key(item) == "#" else [item[0], _shape(item[1]), item[2]] for item in items]
+
+
 def article(page: Element, path: list[str]) -> list[Element]:
     """Elements of the page at the end of the path; further elements on it may be skipped. Outermost ones only."""
     found: list[Element] = []
@@ -300,7 +339,7 @@ def blocks(elements: list[Element]) -> list[str]:
 
 
 def extract(html: str | None, path: list[str] | None) -> str:
-    """Main text of a page, by the path of its host's wrapper; by the page's own wrapper where that finds nothing."""
+    """Main text of a page, by the path of its template's wrapper; by the page's own wrapper where that finds nothing."""
     if not html:
         return ""
     page = parse(html)
@@ -310,23 +349,72 @@ def extract(html: str | None, path: list[str] | None) -> str:
     return "\n".join(found)
 
 
-def wrappers(df: DataFrame, sample: int = SAMPLE, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """Wrapper and path of the article for every host, as JSON: ``host, wrapper, path``.
+def wrappers(df: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
+    """Wrapper and path of the article for every template of every host, as JSON: ``host, template, wrapper, path``.
 
-    Inferred from at most ``sample`` pages a host, drawn by a hash of the page; the cut is made before the
-    shuffle, so a host with a third of all pages sends no more than others.
+    Inferred from all pages. Wrappers of one shape differ in texts only, so they are united in any order, first
+    those of a batch; the shapes of a template are then aligned in order of their digests, in parts and across
+    parts. A task holds one wrapper at a time, however many pages a host has.
     """
     pages = df.select(host(url_column).alias("host"), F.col(html_column).alias("html")).where("html <> ''")
-    drawn = Window.partitionBy("host").orderBy(F.xxhash64("html"), "html")
-    few = pages.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= sample)
-    grouped = few.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("n", "html"))).alias("pages"))
+
+    def shapes(columns: dict[str, list]) -> dict[str, list]:
+        met: dict[tuple[str, str, str], tuple[list, str | None]] = {}
+        for name, html in zip(columns["host"], columns["html"]):
+            page = parse(html)
+            made, seen = wrap(page), _digest(html)
+            key = (name, template(page, made), _digest(json.dumps(_shape(made))))
+            met[key] = _united(met[key], (made, seen)) if key in met else (made, seen)
+        return {
+            "host": [k[0] for k in met], "template": [k[1] for k in met], "shape": [k[2] for k in met],
+            "wrapper": [json.dumps(made) for made, _ in met.values()], "page": [seen for _, seen in met.values()],
+        }
+
+    found = rows_mapped(pages, shapes, _PARTIAL).withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(PARTS)))
+    parts = _aligned(found, ["host", "template", "part"])
+    whole = _aligned(parts, ["host", "template"])
 
     def work(columns: dict[str, list]) -> dict[str, list]:
-        made = [infer([page["html"] for page in pages]) for pages in columns["pages"]]
-        paths = [main_path(w, len(pages)) for w, pages in zip(made, columns["pages"])]
-        return {"host": columns["host"], "wrapper": list(map(json.dumps, made)), "path": list(map(json.dumps, paths))}
+        # A template of one page, however often it is there, has no texts to compare.
+        paths = [main_path(json.loads(made), 1 if page else 2) for made, page in zip(columns["wrapper"], columns["page"])]
+        return {**{c: columns[c] for c in ("host", "template", "wrapper")}, "path": list(map(json.dumps, paths))}
+
+    return rows_mapped(whole, work, "host string, template string, wrapper string, path string")
 
-    return rows_mapped(grouped, work, "host string, wrapper string, path string")
+
+# A wrapper of some pages: ``shape`` orders those of a template, ``page`` is the digest of the only page, or null.
+_PARTIAL = "host string, template string, shape string, wrapper string, page string"
+
+
+def _united(a: tuple[list, str | None], b: tuple[list, str | None]) -> tuple[list, str | None]:
+    return align(a[0], b[0]), a[1] if a[1] == b[1] else None
+
+
+def _aligned(found: DataFrame, keys: list[str]) -> DataFrame:
+    """One wrapper per key: those of one shape are united, then the shapes aligned in their order."""
+    names = [field.split()[0] for field in _PARTIAL.split(", ")]
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in source for row in zip(*(batch.column(c).to_pylist() for c in [*names, *keys])))
+        key = shape = first = held = same = None
+        for name, kind, own, made, page, *at in rows:
+            if at != key:
+                if key is not None:
+                    yield _row(*first, _united(held, same) if held else same)
+                key, shape, first, held, same = at, own, (name, kind, own), None, (json.loads(made), page)
+            elif own == shape:
+                same = _united(same, (json.loads(made), page))
+            else:
+                held = _united(held, same) if held else same
+                shape, same = own, (json.loads(made), page)
+        if key is not None:
+            yield _row(*first, _united(held, same) if held else same)
+
+    def _row(name: str, kind: str, own: str, made: tuple[list, str | None]) -> pa.RecordBatch:
+        values = (name, kind, own, json.dumps(made[0]), made[1])
+        return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in values], names=names)
+
+    return found.repartition(*keys).sortWithinPartitions(*keys, "shape").mapInArrow(batches, _PARTIAL)
 
 
 def host(url_column: str):
@@ -335,27 +423,32 @@ def host(url_column: str):
     return F.coalesce(F.lower(found), F.lit(""))
 
 
-def main_text(
-    df: DataFrame, sample: int = SAMPLE, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
-) -> DataFrame:
+def main_text(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """Main text of every page.
 
-    Pages of a host are aligned as token streams into a wrapper, a regular expression without alternatives:
-    unequal texts become slots, tokens that only some pages have become optional groups, like neighbours
-    repeated groups. The wrapper tells which element holds the article; its blocks are returned but for
+    Pages of one template of a host are aligned as token streams into a wrapper, a regular expression without
+    alternatives: unequal texts become slots, tokens that only some pages have become optional groups, like
+    neighbours repeated groups. All pages take part. Pages are of one template if they have the same containers
+    and the article in the same one by their own wrappers, so a page of another template is not read by a path
+    that misses its article. The wrapper tells which element holds the article; its blocks are returned but for
     elements that by name, class, id or role are menus, headers, notices, adverts, forms, comments and the
     like. No text is dropped for being the same on several pages. The wrappers are joined to all pages by
-    host; adaptive execution splits a host that holds many.
+    host and template; adaptive execution splits a template that holds many.
 
-    A null or empty page, or one without text, has an empty text. Null urls and urls without a host share one
-    wrapper. Broken markup is read as far as it goes. Repeated rows give repeated rows; other columns are
+    A null or empty page, or one without text, has an empty text. Null urls and urls without a host count as
+    one host. Broken markup is read as far as it goes. Repeated rows give repeated rows; other columns are
     ignored. Returns ``page_id, url, text``.
     """
-    known = wrappers(df, sample, url_column, html_column).select("host", "path")
+    known = wrappers(df, url_column, html_column).select("host", "template", "path")
     pages = df.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), host(url_column).alias("host"), F.col(html_column).alias("html"))
-    joined = pages.join(known, "host", "left")
     types = dict(pages.dtypes)
 
+    def named(htmls: list) -> dict[str, list]:
+        trees = [parse(html) if html else None for html in htmls]
+        return {"template": [template(tree, wrap(tree)) if tree else None for tree in trees]}
+
+    joined = columns_added(pages, "html", named, "template string").join(known, ["host", "template"], "left")
+
     def work(columns: dict[str, list]) -> dict[str, list]:
         paths = {path: json.loads(path) if path else None for path in set(columns["path"])}
         text = [extract(html, paths[path]) for html, path in zip(columns["html"], columns["path"])]

@@ -64,3 +64,38 @@ def test_odd_pages(frame):
 def test_one_wrapper_a_host(frame):
     pages = frame([(i, f"https://h{i % 2}.example/{i}", page(str(i), ["p"])) for i in range(40)], SCHEMA)
     assert sorted(r.host for r in wrappers(pages).collect()) == ["h0.example", "h1.example"]
+
+
+def test_every_template_of_a_host_has_a_wrapper(frame):
+    def other(i):
+        return f"<html><body><div><p>teaser {i}</p></div><section><p>article {i} <table><tr><td>cell</table></section></body></html>"
+
+    pages = [(i, f"https://h.example/{i}", page(f"t {i}", [f"a {i}", f"b {i}"])) for i in range(40)]
+    pages += [(40, "https://h.example/40", other(40)), (41, "https://g.example/41", other(41))]
+    rows = {r.page_id: r.text for r in main_text(frame(pages, SCHEMA).repartition(7)).collect()}
+    assert {i: rows[i] for i in range(40)} == {i: f"t {i}\na {i}\nb {i}\na\nb & c" for i in range(40)}
+    assert rows[40] == "teaser 40\narticle 40\ncell" and rows[41] == "teaser 41\narticle 41\ncell"
+
+
+def test_all_pages_of_a_template_take_part(frame):
+    """Without marks or telling names, constant texts are left out; one page of 200 tells that a text varies."""
+    def plain(i, lead):
+        return f"<html><body><center>Home</center><div>{lead}</div><section><p>{i} first</p><p>{i} second</p></section></body></html>"
+
+    pages = [(i, f"https://h.example/{i}", plain(i, "same lead")) for i in range(200)]
+    rows = {r.page_id: r.text for r in main_text(frame(pages, SCHEMA).repartition(9)).collect()}
+    assert rows == {i: f"{i} first\n{i} second" for i in range(200)}
+    pages[77] = (77, "https://h.example/77", plain(77, "a lead of its own"))
+    rows = {r.page_id: r.text for r in main_text(frame(pages, SCHEMA).repartition(9)).collect()}
+    assert rows[77] == "Home\na lead of its own\n77 first\n77 second" and rows[5] == "Home\nsame lead\n5 first\n5 second"
+
+
+def test_copies_and_shapes_in_any_order(frame):
+    texts = [page(f"t {i % 7}", ["x"] * (1 + i % 3), ad=i % 2, comments=i % 4) for i in range(60)]
+    made = [
+        sorted(map(str, wrappers(frame([(i, "https://h.example", t) for i, t in enumerate(order)], SCHEMA).repartition(n)).collect()))
+        for order, n in ((texts, 1), (texts[::-1], 5), (texts * 2, 11))
+    ]
+    assert made[0] == made[1] == made[2] and len(made[0]) == 1
+    copies = [(i, "https://c.example", "<div><div>one</div><section><p>text</section></div>") for i in range(9)]
+    assert {r.text for r in main_text(frame(copies, SCHEMA)).collect()} == {"one\ntext"}
