@@ -57,27 +57,29 @@ def _ordered(tokens: Column, rarity: bytes) -> Column:
 
 
 def _classes(rows: DataFrame, rarity: bytes, percent: int) -> DataFrame:
-    """One row per distinct set: its first line, size, prefix tokens and bitmaps of the parity of its tokens.
+    """One row per distinct set: its first line, size, prefix tokens, bitmaps of the parity of its tokens, and the
+    least and largest of its words' numbers, which alike sets mostly share.
 
     Ids follow the order of the first lines, so of two classes the one with the larger id is the later one.
     The tokens with an odd or even seventh bit have a bitmap each if the set is large; otherwise both share one.
     """
     lines = rows.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "string"))
-    sets = lines.where(F.col("string").rlike(r"\S")).select(
-        F.struct(*LINE).alias("first"), _ordered(_tokens(F.col("string")), rarity).alias("tokens")
+    words = lines.where(F.col("string").rlike(r"\S")).select(F.struct(*LINE).alias("first"), _tokens(F.col("string")).alias("words"))
+    sets = words.select(
+        "first", _ordered(F.col("words"), rarity).alias("tokens"), F.array_min("words").alias("low"), F.array_max("words").alias("high")
     )
     least = f"cast(ceil({percent} * size(tokens) / 100) as int)"
     return (
         sets.select(
             F.xxhash64("tokens").alias("h"), F.xxhash64(F.reverse("tokens"), F.lit(1)).alias("g"),
-            F.size("tokens").alias("size"), "first",
+            F.size("tokens").alias("size"), "first", "low", "high",
             F.expr(f"transform(slice(tokens, 1, size(tokens) - {least} + 1), t -> hash(t))").alias("prefix"),
             F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))").alias("bitmap"),
             F.expr(f"""if(size(tokens) <= {WIDE}, null, aggregate(tokens, 0L,
                 (bits, t) -> if(t & 64 = 0, bits, bits ^ shiftleft(1L, cast(t & 63 as int)))))""").alias("odd"),
         )
         .groupBy("h", "g", "size")
-        .agg(F.min("first").alias("first"), *(F.first(c).alias(c) for c in ("prefix", "bitmap", "odd")))
+        .agg(F.min("first").alias("first"), *(F.first(c).alias(c) for c in ("prefix", "bitmap", "odd", "low", "high")))
         .repartitionByRange("first").sortWithinPartitions("first")
         .withColumn("id", F.monotonically_increasing_id())
     )
@@ -96,19 +98,18 @@ def _bounds(percent: int) -> str:
 
 
 def _first_candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Each class with the earliest class that has the same least, or the same largest, prefix token.
+    """Each class with the earliest class that has the same key, for some keys of a class.
 
-    At most two pairs a class. Variants of a line nearly always share one of the two tokens.
+    Keys are its least and largest prefix token, the least and largest number of all its words, and pairs of
+    these: a pair divides a large group of variants, so that a class also meets other classes than the earliest.
+    At most one pair of classes a key. Variants of a line nearly always match one of them.
     """
-    keyed = classes.select(
-        "id", "size", "bitmap", "odd",
-        F.explode(F.expr("array(struct(0 as side, array_min(prefix) as token), struct(1 as side, array_max(prefix) as token))")).alias("k"),
-    ).select("id", "size", "bitmap", "odd", "k.*")
-    leaders = keyed.groupBy("side", "token").agg(F.min("id").alias("a_id"), F.count("*").alias("members")).where("members > 1")
-    known = classes.select(F.col("id").alias("a_id"), *(F.col(c).alias(f"a_{c}") for c in ("size", "bitmap", "odd")))
-    led = leaders.drop("members").join(known, "a_id")
-    members = keyed.select("side", "token", *(F.col(c).alias(f"b_{c}") for c in ("id", "size", "bitmap", "odd")))
-    return members.join(led, ["side", "token"]).where(f"a_id < b_id and {_bounds(percent)}").select("a_id", "b_id").distinct()
+    keys = ("array_min(prefix)", "array_max(prefix)", "low", "high", "low, high", "array_min(prefix), low", "array_max(prefix), high", "array_min(prefix), high")
+    keyed = classes.select("id", F.explode(F.array(*(F.expr(f"xxhash64({n}, {key})") for n, key in enumerate(keys)))).alias("key"))
+    leaders = keyed.groupBy("key").agg(F.min("id").alias("a_id"), F.count("*").alias("members")).where("members > 1").select("key", "a_id")
+    met = keyed.join(leaders.hint("merge"), "key").where("a_id < id").select("a_id", F.col("id").alias("b_id")).distinct()
+    a, b = (classes.select(*(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "odd"))) for side in "ab")
+    return met.join(b, "b_id").join(a, "a_id").where(_bounds(percent)).select("a_id", "b_id")
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:

@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from newsalpha.llm import lines as steps
 from newsalpha.llm.lines import deduplicate_lines
 
 from .conftest import ROWS
@@ -57,3 +60,26 @@ def test_empty(empty):
 def test_only_built_in_expressions(odd):
     plan = deduplicate_lines(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_pairs_of_a_group_of_variants_are_not_listed(frame):
+    """Twice the variants of one line leave about twice the pairs for the full join, not four times as many."""
+    rng = random.Random(5)
+    words = [f"v{int(rng.paretovariate(0.8)) % 5000}" for _ in range(20_000)]
+    base, left = rng.sample(sorted(set(words)), 70), []
+    for n in (300, 600):
+        docs = []
+        for i in range(n):
+            line = list(base)
+            for _ in range(rng.randint(1, 6)):
+                line[rng.randrange(70)] = rng.choice(words)
+            docs.append((i, " ".join(line)))
+        rows = frame(docs, "doc long, text string").select("doc", F.xxhash64("text").alias("version"), "text").repartition(4)
+        rarity = steps._rarity(rows)
+        classes = steps.staged(steps._classes(rows, rarity, 80), "lines")
+        likely = steps._first_candidates(classes, 80)
+        settled = steps._verified(likely, steps._sets_of(likely, classes, rows, rarity), 80).select(F.col("b_id").alias("id"), F.lit(True).alias("settled"))
+        flagged = classes.join(settled, "id", "left").fillna(False, ["settled"])
+        left.append(steps._candidates(flagged, 80).count())
+        assert likely.count() <= 8 * n
+    assert left[1] <= 2 * n, left
