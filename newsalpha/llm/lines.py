@@ -6,7 +6,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsalpha.llm.common import released, staged
+from newsalpha.llm.common import released, shuffles_dropped, staged
 
 # Counters of the rarity of tokens, a power of two, and the bits of a token's number below its rarity.
 COUNTERS = 1 << 18
@@ -14,16 +14,21 @@ TOKEN_BITS = 57
 # Sets of more tokens than this have a second bitmap.
 WIDE = 64
 
-# Splits a line into words; a line without them is left alone.
-SPACES = r"\s+"
+# White space between words besides spaces and ends of lines; few texts have any.
+OTHER_SPACES = r"[\t\x0B\f\r]"
 
 LINE = ("doc", "version", "line")
 
 
+def _words(text: Column) -> Column:
+    """Words of a text, letters lowered, and some empty ones: cut at single spaces, which takes no search of a pattern."""
+    lowered = F.lower(text)
+    return F.when(text.rlike(OTHER_SPACES), F.split(lowered, r"\s+")).otherwise(F.split(F.replace(lowered, F.lit("\n"), F.lit(" ")), " "))
+
+
 def _tokens(line: Column) -> Column:
     """Distinct numbers of the words of a line, letters lowered."""
-    words = F.array_remove(F.split(F.lower(line), SPACES), "")
-    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    return F.array_except(F.transform(_words(line), lambda word: F.xxhash64(word)), F.array(F.xxhash64(F.lit(""))))
 
 
 def _rarity(rows: DataFrame) -> bytes:
@@ -33,7 +38,7 @@ def _rarity(rows: DataFrame) -> bytes:
     """
     counters = rows.sparkSession.range(COUNTERS).select(F.col("id").alias("counter"), F.lit(0).cast("long").alias("n"))
     counted = (
-        rows.select(F.explode(F.split(F.lower("text"), SPACES)).alias("word"))
+        rows.select(F.explode(_words(F.col("text"))).alias("word"))
         .groupBy(F.xxhash64("word").bitwiseAND(COUNTERS - 1).alias("counter")).agg(F.count("*").alias("n"))
         .unionByName(counters).groupBy("counter").agg(F.sum("n").alias("n"))
         .select((F.col("counter") / 4096).cast("int").alias("pack"), F.struct("counter", F.expr("cast(least(63, 2 * log2(n + 1)) as int)").alias("level")).alias("c"))
@@ -46,11 +51,11 @@ def _rarity(rows: DataFrame) -> bytes:
 
 def _ordered(tokens: Column, rarity: bytes) -> Column:
     """Tokens as numbers that sort by rarity, rarest first, then by the token's own number."""
-    table = F.lit(rarity)
+    # An array that the optimizer makes once, so that a token costs one access.
+    table = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<tinyint>")
 
     def number(token: Column) -> Column:
-        place = (token.bitwiseAND(COUNTERS - 1) + 1).cast("int")
-        level = F.ascii(F.substring(table, place, F.lit(1)).cast("string"))
+        level = F.get(table, token.bitwiseAND(COUNTERS - 1).cast("int"))
         return F.shiftleft(level.cast("long"), TOKEN_BITS).bitwiseOR(token.bitwiseAND((1 << TOKEN_BITS) - 1))
 
     return F.sort_array(F.transform(tokens, number))
@@ -105,11 +110,12 @@ def _first_candidates(classes: DataFrame, percent: int) -> DataFrame:
     At most one pair of classes a key. Variants of a line nearly always match one of them.
     """
     keys = ("array_min(prefix)", "array_max(prefix)", "low", "high", "low, high", "array_min(prefix), low", "array_max(prefix), high", "array_min(prefix), high")
-    keyed = classes.select("id", F.explode(F.array(*(F.expr(f"xxhash64({n}, {key})") for n, key in enumerate(keys)))).alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("id").alias("a_id"), F.count("*").alias("members")).where("members > 1").select("key", "a_id")
-    met = keyed.join(leaders.hint("merge"), "key").where("a_id < id").select("a_id", F.col("id").alias("b_id")).distinct()
-    a, b = (classes.select(*(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "odd"))) for side in "ab")
-    return met.join(b, "b_id").join(a, "a_id").where(_bounds(percent)).select("a_id", "b_id")
+    each = F.explode(F.array(*(F.expr(f"xxhash64({n}, {key})") for n, key in enumerate(keys)))).alias("key")
+    leaders = classes.select("id", each).groupBy("key").agg(F.min("id").alias("a_id"), F.count("*").alias("members")).where("members > 1")
+    known, members = (classes.select(*(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "bitmap", "odd")), *key) for side, key in (("a", ()), ("b", (each,))))
+    # Members have their bitmaps with them: most pairs of a key are unlike lines and go here, before any other shuffle.
+    led = leaders.drop("members").join(known, "a_id")
+    return members.join(led.hint("merge"), "key").where(f"a_id < b_id and {_bounds(percent)}").select("a_id", "b_id").distinct()
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -212,11 +218,12 @@ def deduplicate_lines(
         F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
         F.col(id_column).alias("doc"), F.xxhash64(text_column).alias("version"), F.col(text_column).alias("text"),
     )
-    rarity = _rarity(rows)
-    classes = staged(_classes(rows, rarity, percent), "lines")
-    later = _later(classes, rows, rarity, percent)
-    stay = _match(classes.select("first.*"), later, LINE, "left_anti").groupBy("doc", "version").agg(F.collect_list("line").alias("stay"))
-    stay = staged(stay, "stay")
+    with shuffles_dropped(df.sparkSession):
+        rarity = _rarity(rows)
+        classes = staged(_classes(rows, rarity, percent), "lines")
+        later = _later(classes, rows, rarity, percent)
+        stay = _match(classes.select("first.*"), later, LINE, "left_anti").groupBy("doc", "version").agg(F.collect_list("line").alias("stay"))
+        stay = staged(stay, "stay")
     released(classes, later)
     made = _match(rows, stay, ("doc", "version"), "left").select(
         "row", "text",

@@ -1,8 +1,10 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from newsalpha.llm import lines as steps
+from newsalpha.llm.common import DROPS_SHUFFLES
 from newsalpha.llm.lines import deduplicate_lines
 
 from .conftest import ROWS
@@ -83,3 +85,25 @@ def test_pairs_of_a_group_of_variants_are_not_listed(frame):
         left.append(steps._candidates(flagged, 80).count())
         assert likely.count() <= 8 * n
     assert left[1] <= 2 * n, left
+
+
+def test_words_end_at_any_white_space(frame):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(["a", "Bc", "é", " ", "  ", "\t", "\n", "\x0b", "\f", "\r", "\u00a0", "\u2003"][: rng.choice([5, 12])]) for _ in range(30)) for _ in range(300)]
+    rows = frame([(t,) for t in texts], "text string").select("text", F.array_remove(steps._words(F.col("text")), "").alias("words"))
+    for row in rows.collect():
+        assert row.words == [w for w in re.split(r"[ \t\n\x0b\f\r]+", row.text.lower()) if w], row.text
+
+
+def test_steps_leave_no_shuffle_files(spark, frame):
+    """The files of a shuffle go with the end of its step, not when the driver's cleaner happens to come round to them."""
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", held.mkString(" ")))
+
+    docs = frame([(i, f"one line of text {i % 7} number\nanother line {i}") for i in range(200)], "doc_id long, text string")
+    before, setting = files(), spark.conf.get(DROPS_SHUFFLES)
+    cleaned = deduplicate_lines(docs)
+    assert not files() - before
+    assert spark.conf.get(DROPS_SHUFFLES) == setting
+    assert cleaned.count() == 200
