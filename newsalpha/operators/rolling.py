@@ -19,9 +19,12 @@ from newsalpha.constants import (
 from newsalpha.operators.logistic import train_logistic
 from newsalpha.operators.sampling import sample_n
 from newsalpha.schemas import SCHEMAS
-from newsalpha.session import stage
+from newsalpha.session import new_folder, released, shuffles_dropped, stage
 from newsalpha.sources.writers import replace_partitions, stored_or_none
 
+# Slices of the stories whose vectors are shuffled one after the other.
+SLICES = 4
+
 
 def rolling_windows(labeled: DataFrame, train_years: int = TRAIN_YEARS, val_years: int = VALIDATION_YEARS, day: str = "article_date") -> DataFrame:
     """(oos_year, split, start_date, end_date) for every year that has a full history."""
@@ -101,23 +104,16 @@ def rolling_oos(
     """Train on past years, choose C on the validation years, predict the year after.
 
     Labels and vectors are joined once and staged by year, so each window reads only
-    its own years. A story counts once, with its earliest row and, of several vectors, the
+    its own years; the staged rows go when the last window is done. A story counts once, with its earliest row and, of several vectors, the
     smallest. Windows need enough rows that found a vector. The loop runs over years, of
     which there are few; every fit and every prediction is a distributed job, and the
     predictions of a year are written before they are rated. ``caps`` limits rows per
     split by a repeatable sample; without it all rows count.
     """
     spark = labeled.sparkSession
-    features = stage(
-        join_embeddings(one_per_story(labeled, "article_date", "label"), one_per_story(embeddings, "embedding")).select(
-            "rp_story_id",
-            F.col("label").cast("double").alias("label"),
-            F.col("embedding").cast("array<float>").alias("embedding"),
-            F.year("article_date").alias("year"),
-        ),
-        f"features-{model}",
-        ("year",),
-    ).select("rp_story_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "year")
+    features = staged_features(labeled, embeddings, f"features-{model}").select(
+        "rp_story_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "year"
+    )
     joined = features.select(F.make_date("year", F.lit(1), F.lit(1)).alias("article_date"))
     usable = window_split_counts(joined, train_years, val_years).where("usable").orderBy("oos_year")
     skip = set(skip_years)
@@ -146,6 +142,8 @@ def rolling_oos(
             fitted.n_train, fitted.n_val, result["n_test"],
         ))
         predictions.append(scored.select("rp_story_id", F.lit(year).alias("oos_year"), "p_up"))
+    # Metrics and predictions stand for themselves; the next model or run writes its own.
+    released(features)
     empty = spark.createDataFrame([], SCHEMAS["predictions"])
     return RollingResult(
         spark.createDataFrame(metrics, SCHEMAS["rolling_metrics"]),
@@ -153,6 +151,31 @@ def rolling_oos(
     )
 
 
+def staged_features(labeled: DataFrame, embeddings: DataFrame, name: str, key: str = "rp_story_id") -> DataFrame:
+    """(story, label, embedding, year) by year, written once: each label's story with its vector.
+
+    Vectors take far more room than all else, so they are shuffled once, a slice of the stories at a time, and a slice's shuffle files go
+    when it is written. The disk holds the table and the shuffle of one slice.
+    """
+    spark = labeled.sparkSession
+    kinds = {df.schema[key].dataType.simpleString() for df in (labeled, embeddings)}
+    # Equal keys have equal hashes if they are of one kind, and whole numbers or text.
+    slices = SLICES if len(kinds) == 1 and kinds <= {"int", "bigint", "string"} else 1
+    slice_ = F.pmod(F.xxhash64(key), F.lit(slices))
+    folder = new_folder(spark, name)
+    with shuffles_dropped(spark):
+        for i in range(slices):
+            stories, vectors = (df if slices == 1 else df.where(slice_ == i) for df in (labeled, embeddings))
+            rows = join_embeddings(one_per_story(stories, "article_date", "label"), one_per_story(vectors, "embedding"), key).select(
+                key,
+                F.col("label").cast("double").alias("label"),
+                F.col("embedding").cast("array<float>").alias("embedding"),
+                F.year("article_date").alias("year"),
+            )
+            rows.write.mode("append").partitionBy("year").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def capped(rows: DataFrame, cap: int | None) -> DataFrame:
     return rows if cap is None else sample_n(rows, cap, ["rp_story_id"])
 

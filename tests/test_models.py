@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from newsalpha import session
 from newsalpha.constants import RIDGE_GRID
 from newsalpha.operators import evaluation, logistic, rolling
 from newsalpha.plans.models import run_available_models
@@ -180,6 +181,35 @@ def test_resume_adds_missing_years_and_keeps_stored_ones(spark, tmp_path):
     assert again.predictions.count() == 120 and again.metrics.count() == 2
 
 
+@pytest.fixture
+def kept(tmp_path, monkeypatch):
+    """A shared folder of its own; gives what is left of staged vectors."""
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    return lambda: [str(p) for p in (tmp_path / "shared").rglob("*.parquet") if "features-" in str(p)]
+
+
+def test_each_model_releases_its_vectors(spark, kept):
+    """Models follow each other without the staged vectors of the earlier ones; rows are whole where the keys differ in kind."""
+    labeled, vectors = yearly(spark, range(2000, 2005))
+    other = vectors.withColumn("rp_story_id", F.col("rp_story_id").cast("int"))
+    result = rolling.run_models(labeled, {"a": vectors, "b": other}, c_grid=(1.0,))
+    assert not kept()
+    assert sorted((r.model, r.n_train, r.n_test) for r in result.metrics.collect()) == [("a", 180, 60), ("b", 180, 60)]
+    rows = {(r.model, r.rp_story_id): r.p_up for r in result.predictions.collect()}
+    assert len(rows) == 120 and all(rows["a", i] == pytest.approx(rows["b", i], abs=1e-9) for m, i in rows if m == "a")
+
+
+def test_training_rows_are_kept_as_they_are(spark):
+    """Single precision where it says the same, double precision elsewhere; no row is lost at a cut."""
+    for x, narrow in ((0.5, True), (0.1, False)):
+        rows = spark.range(0, 5000, 1, 1).select(F.col("id").cast("double").alias("label"), F.array(F.lit(x), F.col("id") * 1.0).alias("x"))
+        found = logistic.packed(rows).collect()
+        assert [r.n for r in found] and sum(r.n for r in found) == 5000 and {r.narrow for r in found} == {narrow}
+        kind = np.float32 if narrow else np.float64
+        back = np.concatenate([np.frombuffer(r.x, kind).reshape(r.n, 2) for r in found]).astype(float)
+        assert (back[:, 0] == x).all() and sorted(back[:, 1]) == list(range(5000)) and sorted(np.concatenate([np.frombuffer(r.y) for r in found])) == list(range(5000))
+
+
 def test_a_run_that_was_stopped_is_repeated(spark, tmp_path, monkeypatch):
     """Stopped between its two writes, and with a partition of which only a part was written."""
     labeled, vectors = yearly(spark, range(2000, 2006))
