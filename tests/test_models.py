@@ -199,6 +199,14 @@ def test_each_model_releases_its_vectors(spark, kept):
     assert len(rows) == 120 and all(rows["a", i] == pytest.approx(rows["b", i], abs=1e-9) for m, i in rows if m == "a")
 
 
+def test_resumed_runs_release_their_vectors(spark, kept, tmp_path):
+    labeled, vectors = yearly(spark, range(2000, 2006))
+    for rows in (labeled.where("article_date < '2005-01-01'"), labeled):
+        result = rolling.rolling_resume(rows, vectors, str(tmp_path / "results"), "m", c_grid=(1.0,))
+        assert not kept()
+    assert sorted((r.oos_year, r.n_train) for r in result.metrics.collect()) == [(2004, 180), (2005, 180)] and result.predictions.count() == 120
+
+
 def test_training_rows_are_kept_as_they_are(spark):
     """Single precision where it says the same, double precision elsewhere; no row is lost at a cut."""
     for x, narrow in ((0.5, True), (0.1, False)):
