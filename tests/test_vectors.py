@@ -235,6 +235,16 @@ def test_left_vectors_come_from_tables(frame, spark):
     assert np.allclose(u.T @ u, np.eye(40), atol=1e-9) and np.allclose(dense @ (dense.T @ u), u * values**2, atol=1e-6)
 
 
+def test_rows_are_held_in_even_parts(frame, spark):
+    """A task has as many parts as any other, and every entry is in one record, by row and by column."""
+    entries = frame([(i, (i * 7 + j) % 50, 1 + (i + j) % 3, float(i + j + 1)) for i in range(200) for j in range(5)], "row long, number long, df long, weight double")
+    blocks = decomposition.blocks_of(entries).withColumn("task", F.expr(f"pmod(hash(part), {spark.conf.get('spark.sql.shuffle.partitions')})")).collect()
+    assert len({r.task for r in blocks}) == len(blocks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(i for r in blocks for i in np.frombuffer(r.rows, np.int64)) == list(range(200))
+    assert sum(len(r.row_columns) for r in blocks) == sum(len(r.column_rows) for r in blocks) == 4 * 1000
+    assert sum(np.frombuffer(r.column_weights).sum() for r in blocks) == sum(i + j + 1 for i in range(200) for j in range(5))
+
+
 def test_direction_errors_tell_wrong_directions(frame):
     df = frame([(i, " ".join(f"word{k}" for k in range(i % 7, i % 7 + i % 5 + 2))) for i in range(30)], "id int, text string")
     model = decomposition.fit_tfidf_svd(df, "text", 3)
