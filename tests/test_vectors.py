@@ -235,6 +235,27 @@ def test_left_vectors_come_from_tables(frame, spark):
     assert np.allclose(u.T @ u, np.eye(40), atol=1e-9) and np.allclose(dense @ (dense.T @ u), u * values**2, atol=1e-6)
 
 
+def test_products_by_parts_match_numpy(frame):
+    """Both products from parts of the keys: a vector is sent once per part, no entry is joined; numbers in several bins, null keys, gaps."""
+    rng, apart = np.random.default_rng(11), decomposition.BIN // 3
+    dense = np.where(rng.random((30, 40)) < 0.2, rng.random((30, 40)), 0)
+    keys = [None if i == 3 else f"k{i}" for i in range(30)]
+    entries = frame([(keys[i], int(j) * apart, float(dense[i, j])) for i, j in zip(*np.nonzero(dense))], "key string, number long, weight double")
+    given = rng.normal(size=(40, 3))
+    vectors = frame([(j * apart, given[j].tolist()) for j in range(35)], "number long, v array<double>")
+    right = decomposition.gathered(entries, vectors, "v", "key", 3, "sum")
+    assert "Join" not in right._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["key"]: r["sum"] for r in right.collect()}
+    want = {keys[i]: dense[i, :35] @ given[:35] for i in range(30) if dense[i, :35].any()}
+    assert found.keys() == want.keys() and all(np.allclose(found[i], want[i]) for i in want)
+    left = rng.normal(size=(30, 2))
+    across = decomposition.scattered(entries, frame([(keys[i], left[i].tolist()) for i in range(30)], "key string, u array<double>"), "u", "key", 2, "sum")
+    assert "Join" not in across._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["number"]: r["sum"] for r in across.collect()}
+    want = {j * apart: dense[:, j] @ left for j in range(40) if dense[:, j].any()}
+    assert found.keys() == want.keys() and all(np.allclose(found[j], want[j]) for j in want)
+
+
 def test_rows_are_held_in_even_parts(frame, spark):
     """A task has as many parts as any other, and every entry is in one record, by row and by column."""
     entries = frame([(i, (i * 7 + j) % 50, 1 + (i + j) % 3, float(i + j + 1)) for i in range(200) for j in range(5)], "row long, number long, df long, weight double")
